@@ -67,9 +67,14 @@ def sequence_pairs(sequences: DataFrame) -> DataFrame:
 def with_alignment(pairs: DataFrame, align=align_hybrid) -> DataFrame:
     """Pairs with the columns of their alignment. Equal pairs of sequences are aligned once.
 
-    The distinct pairs come out of a shuffle, so the costly step is spread over the tasks.
+    The costly step gets a fixed number of tasks: adaptive execution would merge them by bytes, and
+    a pair is small for the time it takes.
     """
-    distinct = pairs.select("Seq1", "Seq2").distinct()
+    spark = pairs.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism
+    )
+    distinct = pairs.select("Seq1", "Seq2").distinct().repartition(tasks, "Seq1", "Seq2")
     aligned = distinct.select("Seq1", "Seq2", align(F.col("Seq1"), F.col("Seq2")).alias("a"))
     return pairs.join(aligned, ["Seq1", "Seq2"]).select(*pairs.columns, "a.*")
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,7 @@ from taskspark.operators.features import (
 )
 from taskspark.operators.impute import medians
 from taskspark.operators.outliers import drop_outliers
-from taskspark.session import enable_checkpoints
+from taskspark.session import enable_checkpoints, store_and_reload
 
 
 @dataclass(frozen=True)
@@ -103,15 +102,14 @@ def duration_label(rows: DataFrame, days: int = vocab.LONG_TASK_DAYS) -> DataFra
 def training_matrix(task: DataFrame, rules: ModelRules) -> tuple[DataFrame, dict[str, float]]:
     """Feature vectors, duration and label of the inliers, and the fill values learned from them.
 
-    Only the columns the forest and the features read are kept for the passes over the rows.
+    Both row sets are read several times, so they are stored with just the columns the forest and the
+    features need.
     """
     rows = training_rows(rules.features(task), rules.first_year)
     needed = {"Id", *vocab.OUTLIER_COLUMNS, *source_columns(rows, rules.selected)}
-    rows = rows.select(*[c for c in rows.columns if c in needed])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    inliers = drop_outliers(rows, seed=rules.seed).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = store_and_reload(rows.select(*[c for c in rows.columns if c in needed]), "training")
+    inliers = store_and_reload(drop_outliers(rows, seed=rules.seed), "inliers")
     fills = medians(inliers, number_features(inliers, rules.selected))
-    rows.unpersist()
     matrix = feature_matrix(inliers, fills, rules.selected, keep=["TaskDuration"])
     return duration_label(as_vector(matrix, rules.selected), rules.long_task_days), fills
 
@@ -133,6 +131,8 @@ def train_regressor(
     enable_checkpoints(matrix.sparkSession)
     short = classifier.transform(matrix).where(F.col("prediction") == 0)
     rows = short.where(F.col("TaskDuration") > 1).select("features", "TaskDuration")
+    if rows.isEmpty():
+        raise ValueError("the classifier calls no task of more than a day short")
     return GBTRegressor(
         featuresCol="features", labelCol="TaskDuration", maxIter=rules.regressor_rounds,
         stepSize=rules.regressor_rate, maxDepth=rules.depth, seed=rules.seed,
@@ -142,10 +142,8 @@ def train_regressor(
 def train(task: DataFrame, rules: ModelRules = ModelRules()) -> Models:
     """Both models from a cleaned task set."""
     matrix, fills = training_matrix(task, rules)
-    matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
     classifier = train_classifier(matrix, rules)
     regressor = train_regressor(matrix, classifier, rules)
-    matrix.unpersist()
     return Models(classifier, regressor, fills, rules.selected)
 
 

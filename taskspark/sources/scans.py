@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from taskspark import vocab
+from taskspark.session import path_exists
 
 
 def scan_sheets(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -39,12 +39,9 @@ def scan_records(spark: SparkSession, path: str, schema: str | T.StructType) ->
     """Landed JSON records; nothing landed, or text that is not JSON, gives no rows."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    try:
-        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
 def load_sources(

@@ -8,6 +8,7 @@ hold a third of all lines.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from taskspark.operators.cleaning import CleaningRules
 from taskspark.plans.models import ModelRules
@@ -40,7 +41,7 @@ SELECTED = (
     "SupplierVendor_1", "Seasonality", "DamageCode_30", "CauseCode_l00", "TaskCreatedMonth_7",
     "TaskCreatedMonth_2", "GeneralCode_r_promo", "Category_small", "SupplierVendor_2",
     "CauseCode_other", "Category_large", "DamageCode_10", "TaskCreatedQuarter_3", "IsEval_False",
-    "Engine_machinery", "Category_housing",
+    "Engine_machinery", "Category_housing", "TaskCreatedYear",
 )
 
 WORK_ORDERS = """
@@ -52,7 +53,8 @@ SELECT concat_ws('-', CAST(l.l_orderkey AS STRING), CAST(l.l_linenumber AS STRIN
        CAST(l.l_quantity AS BIGINT)                                 AS Task,
        CAST(l.l_partkey AS STRING)                                  AS Material,
        CAST(o.o_orderdate AS DATE) + CAST(round(l.l_discount * 100) AS INT) * 5 AS Created_On,
-       CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_shipdate AS DATE) END       AS Completed_On,
+       CASE WHEN l.l_linestatus = 'F' OR l.l_returnflag <> 'N'
+            THEN CAST(l.l_shipdate AS DATE) END                     AS Completed_On,
        CAST(o.o_orderdate AS DATE) + CAST(round(l.l_tax * 100) AS INT)          AS Planned_Start,
        CASE WHEN l.l_quantity >= 49 THEN DATE '2262-04-11'
             ELSE CAST(o.o_orderdate AS DATE) + CAST(l.l_quantity AS INT) END    AS Planned_Finish,
@@ -100,7 +102,7 @@ SELECT CAST(Notification AS STRING) AS Notification, CAST(Item AS STRING) AS Ite
        CAST(Task AS STRING) AS Task, Material, Description,
        concat(CAST(Created_On AS STRING), ' 00:00:00') AS `Created On`,
        concat(CAST(Completed_On AS STRING), ' 00:00:00') AS `Completed On`, TaskText AS `Task text`,
-       GroupCode AS `Code group`, GroupText AS `Task group text`, TaskCode AS `Task code`,
+       GroupCode AS `Code group`, GroupText AS `Task group text`, upper(TaskCodeText) AS `Task code`,
        TaskCodeText AS `Task code text`,
        concat(CAST(Planned_Start AS STRING), ' 00:00:00') AS `Planned start`,
        CASE WHEN Planned_Finish = DATE '2262-04-11' THEN '31-12-9999'
@@ -188,7 +190,8 @@ SELECT concat_ws('-', CAST(l.l_orderkey AS STRING), CAST(l.l_linenumber AS STRIN
        o.o_custkey AS NotificationCode, CAST(l.l_partkey AS STRING) AS MaterialCode,
        CAST(CAST(o.o_orderdate AS DATE) + CAST(round(l.l_discount * 100) AS INT) * 5 AS STRING)
                                                                     AS CreatedOn,
-       CASE WHEN l.l_linestatus = 'F' THEN CAST(CAST(l.l_shipdate AS DATE) AS STRING)
+       CASE WHEN l.l_linestatus = 'F' OR l.l_returnflag <> 'N'
+            THEN CAST(CAST(l.l_shipdate AS DATE) AS STRING)
             ELSE '1677-09-21' END                                   AS CompletedOn,
        concat(p.p_type, ' ', o.o_orderpriority)                     AS TaskText,
        p.p_partkey * 100 + ascii(l.l_returnflag)                    AS TaskCodeId,
@@ -249,14 +252,20 @@ FROM events
 """
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def given(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Register the given tables as views."""
+    """Register the given tables as views. A file's schema is looked up once."""
     for name in names or GIVEN:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        path = f"{sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = spark.read.parquet(path).schema
+        spark.read.schema(_SCHEMAS[path]).parquet(path).createOrReplaceTempView(name)
 
 
 def work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given(spark, sf_dir)
+    given(spark, sf_dir, "lineitem", "orders", "part", "customer", "nation")
     df = spark.sql(WORK_ORDERS)
     df.createOrReplaceTempView("work_orders")
     return df
@@ -264,6 +273,7 @@ def work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sheet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     work_orders(spark, sf_dir)
+    given(spark, sf_dir, "region", "supplier")
     return spark.sql(SHEETS[name])
 
 
