@@ -1,11 +1,12 @@
 """Sequence alignment as Arrow UDFs over two ``array<string>`` columns.
 
 A dynamic-programming cell needs its left neighbour. Spark's array functions can only thread that
-through ``aggregate``, which copies the row for every cell; numpy fills a whole matrix row at once.
-Spark splits the pairs over the tasks, the functions below see one pair at a time.
+through ``aggregate``, which copies the row for every cell. Spark splits the pairs over the tasks,
+the functions below see one pair at a time.
 
-Only checkpoint rows of the matrix are kept, and the trace refills one block of rows between two
-checkpoints when it gets there, so long sequences need memory for about ``2 * sqrt(n)`` rows.
+Short pairs use plain lists. For long ones numpy fills a whole matrix row at once, only checkpoint
+rows of the matrix are kept, and the trace refills one block of rows between two checkpoints when it
+gets there: memory for about ``2 * sqrt(n)`` rows.
 """
 
 from __future__ import annotations
@@ -18,20 +19,60 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 GAP = "-"
+SMALL_CELLS = 1 << 11
 BLOCK_CELLS = 1 << 22
 
 ALIGNED = "align1 array<string>, align2 array<string>"
 SCORED = "align1 array<string>, align2 array<string>, score double"
 
 
-class _Matrix:
-    """Score matrix of two code vectors, by blocks of rows.
+def _matrix(seq1, seq2, reward=1, gap=-1, local=False):
+    """Score matrix. ``local`` starts the edges at 0 and lifts every cell to at least 0."""
+    small = len(seq1) * len(seq2) <= SMALL_CELLS
+    return (_Whole if small else _Blocks)(seq1, seq2, reward, gap, local)
+
+
+class _Whole:
+    """Score matrix as a list of rows."""
+
+    def __init__(self, seq1, seq2, reward, gap, local):
+        row = [0] * (len(seq2) + 1) if local else [gap * j for j in range(len(seq2) + 1)]
+        self.rows, best, self.best_at = [row], -1, (0, 0)
+        for i, symbol in enumerate(seq1, 1):
+            above, row = row, [0 if local else gap * i]
+            left, corner = row[0], above[0]
+            for j, other in enumerate(seq2, 1):
+                value = corner + (reward if symbol == other else gap)
+                corner = above[j]
+                if corner + gap > value:
+                    value = corner + gap
+                if left + gap > value:
+                    value = left + gap
+                if local:
+                    if value < 0:
+                        value = 0
+                    if value >= best:
+                        best, self.best_at = value, (i, j)
+                row.append(value)
+                left = value
+            self.rows.append(row)
 
-    ``local`` starts the edges at 0 and lifts every cell to at least 0. With a fixed gap cost,
-    ``row[j] = max(t[j], row[j-1] + gap)`` is a running maximum of ``t[j] - gap * j``.
+    def row(self, i):
+        return self.rows[i]
+
+    def above(self, i):
+        return self.rows[i - 1]
+
+
+class _Blocks:
+    """Score matrix by blocks of rows.
+
+    With a fixed gap cost, ``row[j] = max(t[j], row[j-1] + gap)`` is a running maximum of
+    ``t[j] - gap * j``.
     """
 
-    def __init__(self, a, b, reward=1, gap=-1, local=False):
+    def __init__(self, seq1, seq2, reward, gap, local):
+        a, b = _codes(seq1, seq2)
         self.a, self.b, self.reward, self.gap, self.local = a, b, reward, gap, local
         n, m = len(a), len(b)
         self.slope = gap * np.arange(m + 1, dtype=np.int64)
@@ -78,6 +119,11 @@ class _Matrix:
             self.loaded, self.rows = at, self._fill(at * self.block, self.tops[at])
         return self.rows[i - at * self.block]
 
+    def above(self, i):
+        """Row ``i - 1``, from the block of row ``i``: a block starts with the last row before it."""
+        self.row(i)
+        return self.rows[i - 1 - self.loaded * self.block]
+
 
 def _codes(*sequences):
     """Integer codes: equal symbols, equal numbers."""
@@ -89,15 +135,14 @@ def _codes(*sequences):
 
 def global_pair(seq1, seq2, reward=1, gap=-1):
     """Whole-length alignment. Unequal symbols never share a column: each stands against a gap."""
-    a, b = _codes(seq1, seq2)
-    scores = _Matrix(a, b, reward, gap)
-    i, j, out1, out2 = len(a), len(b), [], []
+    scores = _matrix(seq1, seq2, reward, gap)
+    i, j, out1, out2 = len(seq1), len(seq2), [], []
     while i or j:
-        if i and j and a[i - 1] == b[j - 1]:
+        if i and j and seq1[i - 1] == seq2[j - 1]:
             i, j = i - 1, j - 1
             out1.append(seq1[i])
             out2.append(seq2[j])
-        elif i and scores.row(i)[j] == _above(scores, i)[j] + gap:
+        elif i and scores.row(i)[j] == scores.above(i)[j] + gap:
             i -= 1
             out1.append(seq1[i])
             out2.append(GAP)
@@ -110,8 +155,7 @@ def global_pair(seq1, seq2, reward=1, gap=-1):
 
 def local_pair(seq1, seq2):
     """Best common stretch, ending at the last of the best cells, and the share of ``seq2`` in it."""
-    a, b = _codes(seq1, seq2)
-    scores = _Matrix(a, b, local=True)
+    scores = _matrix(seq1, seq2, local=True)
     (i, j), out1, out2 = scores.best_at, [], []
     while i and j:
         row = scores.row(i)
@@ -120,7 +164,7 @@ def local_pair(seq1, seq2):
         step1, step2 = seq1[i - 1], seq2[j - 1]
         if row[j] == row[j - 1] - 1:
             step1, j = GAP, j - 1
-        elif row[j] == _above(scores, i)[j] - 1:
+        elif row[j] == scores.above(i)[j] - 1:
             step2, i = GAP, i - 1
         else:
             i, j = i - 1, j - 1
@@ -139,12 +183,6 @@ def hybrid_pair(seq1, seq2):
     return local_pair(*global_pair(seq1, seq2))
 
 
-def _above(scores, i):
-    """Row ``i - 1`` next to row ``i``: every block starts with the last row of the one before."""
-    scores.row(i)
-    return scores.rows[i - 1 - scores.loaded * scores.block]
-
-
 def align_global(seq1: Column, seq2: Column, reward: int = 1, penalty: int = -1) -> Column:
     """Struct of both sides of the global alignment."""
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The stand-ins for "no date" and "for life", and the span a stored date may have.
 MISSING_DATE = "1677-09-21"
@@ -16,7 +19,6 @@ LAST_INSTANT = "2262-04-11 23:47:16.854775"
 LIFE_PATTERN = "^[0-9]{1,2}[-][0-9]{1,2}[-][7-9]{4}"
 
 STAMP_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} ([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
-READ_PATTERN = r"^\d{4}([-/])\d{1,2}\1\d{1,2}([T ]\d{1,2}:\d{2}(:\d{2}([.]\d{1,6})?)?)?$"
 
 
 def sentinel_date(text: Column, life_pattern: str = LIFE_PATTERN) -> Column:
@@ -40,26 +42,34 @@ def life_date_text(text: Column, life_pattern: str = LIFE_PATTERN) -> Column:
     return F.when(text.rlike(life_pattern), F.lit(LIFE_DATE_TEXT)).otherwise(text)
 
 
-def read_date(value: Column, null_out_of_range: bool = True) -> Column:
-    """Timestamp of slash or ISO text, or of a date column; null when it cannot be read.
+def read_dates(df: DataFrame, columns: Iterable[str], null_out_of_range: bool = True) -> DataFrame:
+    """Timestamps of slash or ISO text, or of date columns; null where a value cannot be read.
 
     The stored "no date" lies just below the allowed span, so it turns into null here; without
     that every open task would look completed. Later than the last instant is null as well,
     unless ``null_out_of_range`` is off.
     """
-    text = value.cast("string")
-    iso = F.when(text.rlike(READ_PATTERN), F.translate(text, "/", "-"))
-    stamp = iso.try_cast("timestamp_ntz")
-    if not null_out_of_range:
-        return F.when(stamp >= F.lit(FIRST_INSTANT).cast("timestamp_ntz"), stamp)
-    return F.when(
-        stamp.between(
-            F.lit(FIRST_INSTANT).cast("timestamp_ntz"), F.lit(LAST_INSTANT).cast("timestamp_ntz")
-        ),
-        stamp,
+    first, last = (F.lit(v).cast("timestamp_ntz") for v in (FIRST_INSTANT, LAST_INSTANT))
+    stamps = {c: _stamp(F.col(c), df.schema[c].dataType) for c in columns}
+    # Two steps, so that the text is read once and not again for each bound.
+    found = df.withColumns(stamps)
+    return found.withColumns(
+        {
+            c: F.when(F.col(c).between(first, last) if null_out_of_range else F.col(c) >= first, F.col(c))
+            for c in stamps
+        }
     )
 
 
+def _stamp(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return value.cast("timestamp_ntz")
+    # The cast reads yyyy-M-d with or without time; it would also take a lone year or month.
+    text = F.translate(value.cast("string"), "/", "-")
+    dashes = (F.substring(text, 5, 1) == "-") & F.substring(text, 7, 2).contains("-")
+    return F.when(dashes, text).try_cast("timestamp_ntz")
+
+
 def date_text(value: Column) -> Column:
     """``yyyy-MM-dd`` text, null stays null."""
     return F.date_format(value, "yyyy-MM-dd")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taskspark import vocab
-from taskspark.functions.dates import date_text, read_date
+from taskspark.functions.dates import date_text, read_dates
 from taskspark.functions.texts import contains_any, fold_case
 from taskspark.operators.groups import with_group_values
 
@@ -78,11 +78,10 @@ def star_join(sources: Mapping[str, DataFrame], fact_columns: Sequence[str] = FA
 
 def typed(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Whole-number keys, text as text, dates as timestamps, engine in lower case."""
-    return task.withColumns(
+    return read_dates(task, DATES, rules.null_out_of_range).withColumns(
         {
             **{c: F.col(c).try_cast("bigint") for c in ("Notification", "Item", "Task")},
             "TaskText": F.coalesce(F.col("TaskText").cast("string"), F.lit("nan")),
-            **{c: read_date(F.col(c), rules.null_out_of_range) for c in DATES},
             "Engine": F.lower("Engine"),
         }
     )

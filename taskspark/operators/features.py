@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taskspark import vocab
-from taskspark.functions.dates import day_span, read_date, whole_days
+from taskspark.functions.dates import day_span, read_dates, whole_days
 from taskspark.functions.texts import contains_any, fold_text_columns, int_or_na, keep_listed, to_flag
 from taskspark.operators.cleaning import DATES, ITEM
 from taskspark.operators.groups import with_group_values
@@ -94,8 +94,7 @@ def features(
     kept: Mapping[str, Sequence[str]] = vocab.KEPT_VALUES,
 ) -> DataFrame:
     """All features of a cleaned task set. Owner counts are those of this set."""
-    df = task.withColumns({c: read_date(F.col(c)) for c in DATES})
-    df = with_item_start(with_calendar(df))
+    df = with_item_start(with_calendar(read_dates(task, DATES)))
     df = df.withColumn("Seasonality", seasonality(F.col("TaskCreatedMonth")))
     df = df.withColumns(
         {

@@ -100,8 +100,9 @@ FROM (SELECT *, CASE WHEN regexp_matches(sent, '^[0-9]{4}[-/]')
 )
 def parse_dates(spark, sf_dir):
     rows = tables.date_texts(spark, sf_dir)
-    stamp = F.date_format(dates.read_date(F.col("sent")), "yyyy-MM-dd HH:mm:ss").alias("stamp")
-    return rows.select("l_orderkey", "l_linenumber", "sent", stamp)
+    read = dates.read_dates(rows.withColumn("stamp", F.col("sent")), ["stamp"])
+    stamp = F.date_format("stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp")
+    return read.select("l_orderkey", "l_linenumber", "sent", stamp)
 
 
 SPAN_SQL = (
