@@ -8,19 +8,15 @@ adaptive execution splits a hot key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
-    """``df`` with aggregates of its groups added; null keys form a group.
-
-    The key is one struct: structs are equal when their fields are, null fields too, so grouping and
-    join share one hash partitioning.
-    """
-    groups = df.groupBy(F.struct(*keys).alias("__group")).agg(*values)
-    joined = df.withColumn("__key", F.struct(*keys)).join(
-        groups, F.col("__key") == F.col("__group"), "left"
-    )
-    return joined.drop("__key", "__group")
+    """``df`` with aggregates of its groups added; null keys form a group."""
+    names = {k: f"__group_{k}" for k in keys}
+    groups = df.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(*values)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return df.join(groups, same, "left").drop(*names.values())

@@ -10,6 +10,9 @@ from taskspark.functions.alignment import align_global, align_hybrid, align_loca
 from taskspark.operators import cleaning, features, impute, sequences
 from taskspark.operators.outliers import drop_outliers as drop
 from taskspark.plans import models
+from taskspark.session import store_and_reload
+from taskspark.sources.scans import load_sources
+from taskspark.vocab import CLEANED_FIELDS
 from workload import tables
 from workload.alignment_sql import aligned
 from workload.registry import query
@@ -259,8 +262,6 @@ def general_code(spark, sf_dir):
 
 
 def sources(spark, sf_dir):
-    from taskspark.sources.scans import load_sources
-
     return load_sources(tables.records(spark, sf_dir))
 
 
@@ -312,8 +313,6 @@ def clean_cascade(spark, sf_dir):
 
 
 def _cleaned_sql() -> str:
-    from taskspark.vocab import CLEANED_FIELDS
-
     names = ", ".join(
         (f"CAST({c} AS VARCHAR) AS {n}" if c in DATES else f"{c} AS {n}")
         for c, n in CLEANED_FIELDS.items()
@@ -541,8 +540,9 @@ def inference_rows(spark, sf_dir):
 
 @query("drop_outliers")
 def drop_outliers(spark, sf_dir):
-    kept = drop(training(spark, sf_dir))
-    return kept.select("Id", "Item", "Task", "TaskDuration", "DaysFromItemStart")
+    """Inliers. The rows are counted, sampled and scored, so they are stored first."""
+    rows = training(spark, sf_dir).select("Id", "Item", "Task", "TaskDuration", "DaysFromItemStart")
+    return drop(store_and_reload(rows, "training"))
 
 
 # Few rounds, so that a check of all queries ends soon; the jobs' defaults are the full numbers.
@@ -574,7 +574,7 @@ def train_regressor(spark, sf_dir):
 @query("predict_duration")
 def predict_duration(spark, sf_dir):
     rules = tables.model_rules(**FEW_ROUNDS)
-    tasks = tables.model_tasks(spark, sf_dir)
+    tasks = store_and_reload(tables.model_tasks(spark, sf_dir), "tasks")
     return models.predict(tasks, models.train(tasks, rules), rules)
 
 
@@ -617,6 +617,26 @@ def arrays_as_text(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({c: F.concat_ws(" ", c) for c in names})
 
 
+CODED_SQL = (
+    "SELECT event_id AS Id, user_id AS Notification, ascii(event_type) * 100 + length(event_type)"
+    " AS TaskCodeId FROM events"
+)
+CODE_NAMES_SQL = (
+    "SELECT DISTINCT ascii(event_type) * 100 + length(event_type) AS TaskCodeId,"
+    " upper(event_type) AS TaskCodeName FROM events WHERE event_type <> 'error'"
+)
+
+
+@query(
+    "sequence_code_names",
+    f"SELECT e.*, coalesce(c.TaskCodeName, 'nan') AS TaskCode FROM ({CODED_SQL}) e"
+    f" LEFT JOIN ({CODE_NAMES_SQL}) c USING (TaskCodeId)",
+)
+def sequence_code_names(spark, sf_dir):
+    tables.given(spark, sf_dir, "events")
+    return sequences.with_code_names(spark.sql(CODED_SQL), spark.sql(CODE_NAMES_SQL))
+
+
 @query(
     "item_sequences",
     f"{SEQ} SELECT Notification, Item, LayoutId, array_to_string(Seq, ' ') AS Seq FROM seqs",
