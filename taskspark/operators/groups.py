@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
-    """``df`` with aggregates of its groups added; null keys form a group."""
+    """``df`` with aggregates of its groups added; null keys form a group.
+
+    The null-safe match is not what the groups are partitioned by, so their few rows are shuffled
+    once more for the join: adaptive execution splits hot keys only between two such shuffles.
+    """
     names = {k: f"__group_{k}" for k in keys}
     groups = df.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(*values)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])

@@ -2,7 +2,8 @@
 
 No join forces a broadcast: Spark broadcasts a side whose size it has measured below its threshold,
 and otherwise shuffles both, where adaptive execution splits a hot key of the left side. Every join
-here keeps the fact on the left as inner, left or anti join, the kinds that can be split so.
+here keeps the fact on the left of an inner, left or anti join, the kinds that can be split so, and
+shuffles both sides for the join itself, without which it would not be split.
 """
 
 from __future__ import annotations
@@ -11,23 +12,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def text_key(keys: Sequence[str]) -> Column:
-    """All keys as text in one struct. Structs are equal when their fields are, null fields too."""
-    return F.struct(*[F.col(k).cast("string").alias(k) for k in keys])
-
-
 def new_rows(source: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``source`` whose key is not loaded yet; null equals null. Source duplicates stay.
 
-    Loaded keys are folded to one row each before they move.
+    Keys are compared as text. Loaded keys are folded to one row each before they move.
     """
-    known = loaded.select(text_key(keys).alias("__known")).distinct()
-    keyed = source.withColumn("__key", text_key(keys))
-    return keyed.join(known, F.col("__key") == F.col("__known"), "left_anti").drop("__key")
+    names = {k: f"__known_{k}" for k in keys}
+    known = loaded.select(*[F.col(k).cast("string").alias(n) for k, n in names.items()]).distinct()
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).cast("string").eqNullSafe(F.col(n)) for k, n in names.items()]
+    )
+    return source.join(known, same, "left_anti")
 
 
 @dataclass(frozen=True)

@@ -46,11 +46,12 @@ def sequence_pairs(sequences: DataFrame) -> DataFrame:
 
     A notification of one item has no pair. One pair per item, so nothing grows by the square.
     """
-    last = sequences.groupBy("Notification").agg(
+    last = sequences.groupBy(F.col("Notification").alias("__notification")).agg(
         F.max(F.struct("Item", "LayoutId", "Seq")).alias("last")
     )
+    # Null-safe, so that both sides are shuffled for the join and a hot notification is split.
     return (
-        sequences.join(last, "Notification")
+        sequences.join(last, F.col("Notification").eqNullSafe(F.col("__notification")))
         .where(F.col("Item") < F.col("last.Item"))
         .select(
             "Notification",
@@ -68,13 +69,14 @@ def with_alignment(pairs: DataFrame, align=align_hybrid) -> DataFrame:
     """Pairs with the columns of their alignment. Equal pairs of sequences are aligned once.
 
     The costly step gets a fixed number of tasks: adaptive execution would merge them by bytes, and
-    a pair is small for the time it takes.
+    a pair is small for the time it takes. They are dealt out without a key, so that both sides are
+    shuffled for the join back and copies of one pair are split.
     """
     spark = pairs.sparkSession
     tasks = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism
     )
-    distinct = pairs.select("Seq1", "Seq2").distinct().repartition(tasks, "Seq1", "Seq2")
+    distinct = pairs.select("Seq1", "Seq2").distinct().repartition(tasks)
     aligned = distinct.select("Seq1", "Seq2", align(F.col("Seq1"), F.col("Seq2")).alias("a"))
     return pairs.join(aligned, ["Seq1", "Seq2"]).select(*pairs.columns, "a.*")
 

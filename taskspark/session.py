@@ -24,9 +24,20 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_dir(spark).rstrip('/')}/taskspark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/taskspark/{label}-{uuid.uuid4().hex}"
+    """A path for one intermediate table."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no result is read from them any more."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def enable_checkpoints(spark: SparkSession) -> None:
