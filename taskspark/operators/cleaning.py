@@ -12,6 +12,7 @@ from taskspark import vocab
 from taskspark.functions.dates import date_text, read_dates
 from taskspark.functions.texts import contains_any, fold_case
 from taskspark.operators.groups import with_group_values
+from taskspark.session import store_and_reload
 
 ITEM = ("Notification", "Item")
 DATES = ("Created_On", "Completed_On", "Planned_Start", "Planned_Finish")
@@ -153,8 +154,13 @@ def with_corrections(task: DataFrame, rules: CleaningRules = CleaningRules()) ->
 
 
 def clean(sources: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """The cleaned task fact of the renamed record sets."""
+    """The cleaned task fact of the renamed record sets.
+
+    The joined task codes are stored first: Spark then knows their size, and shuffles the fact for
+    them only if they are too large to broadcast.
+    """
     codes = with_general_code(sources["TaskCode"], sources["GeneralCode"])
+    codes = store_and_reload(codes, "codes")
     task = star_join({**sources, "TaskCode": codes})
     return with_corrections(with_tags(typed(task, rules), rules), rules)
 

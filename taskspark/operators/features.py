@@ -18,8 +18,7 @@ from taskspark.operators.groups import with_group_values
 from taskspark.operators.impute import fill_numbers
 
 MARKED_TEXTS = (
-    "Notification", "SupplierVendor", "DamageCode", "TaskCreatedMonth", "TaskCreatedQuarter",
-    "TaskOwner", "Engine",
+    "Notification", "SupplierVendor", "DamageCode", "TaskCreatedMonth", "TaskCreatedQuarter", "Engine",
 )
 FLAGS = ("IsTurnback", "IsLife")
 UNKNOWN_LATER = (
@@ -66,7 +65,7 @@ def with_bins(task: DataFrame, kept: Mapping[str, Sequence[str]] = vocab.KEPT_VA
 
 def with_owner_experience(task: DataFrame) -> DataFrame:
     """Number of tasks of the owner instead of the owner; 0 for texts that contain ``na``."""
-    df = with_group_values(task, ["TaskOwner"], F.count("*").alias("__tasks"))
+    df = with_group_values(task, ["TaskOwner"], F.count("*").alias("__tasks"), measured=True)
     known = ~F.lower("TaskOwner").contains("na")
     count = F.when(known, F.col("__tasks")).otherwise(0)
     return df.withColumn("TaskOwnerExperience", count).drop("TaskOwner", "__tasks")
@@ -93,8 +92,14 @@ def features(
     text_flags: Mapping[str, str] = vocab.TEXT_FLAGS,
     kept: Mapping[str, Sequence[str]] = vocab.KEPT_VALUES,
 ) -> DataFrame:
-    """All features of a cleaned task set. Owner counts are those of this set."""
-    df = with_item_start(with_calendar(read_dates(task, DATES)))
+    """All features of a cleaned task set. Owner counts are those of this set.
+
+    The owners come first, on the rows as they arrive: they are counted in a pass of their own, which
+    then reads one column and none of the joins below.
+    """
+    owner = F.lower(int_or_na(task, "TaskOwner"))
+    df = with_owner_experience(task.withColumn("TaskOwner", owner))
+    df = with_item_start(with_calendar(read_dates(df, DATES)))
     df = df.withColumn("Seasonality", seasonality(F.col("TaskCreatedMonth")))
     df = df.withColumns(
         {
@@ -102,7 +107,7 @@ def features(
             **{c: to_flag(F.col(c)) for c in FLAGS},
         }
     )
-    df = with_owner_experience(with_text_flags(with_bins(fold_text_columns(df), kept), text_flags))
+    df = with_text_flags(with_bins(fold_text_columns(df), kept), text_flags)
     days = days_per_task(F.col("DaysFromItemStart"), F.col("Task"))
     return df.withColumn("DaysPerTask", days)
 

@@ -368,7 +368,7 @@ PREPARED_NAMES = (
 
 
 def prepared(spark, sf_dir) -> DataFrame:
-    return features.features(tables.model_tasks(spark, sf_dir), TEXT_FLAGS, KEPT)
+    return features.features(tables.stored_model_tasks(spark, sf_dir), TEXT_FLAGS, KEPT)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -553,7 +553,7 @@ FEW_ROUNDS = dict(classifier_rounds=10, regressor_rounds=10)
 def train_classifier(spark, sf_dir):
     """Tasks by label and by the class the trained classifier gives them."""
     rules = tables.model_rules(**FEW_ROUNDS)
-    matrix, _ = models.training_matrix(tables.model_tasks(spark, sf_dir), rules)
+    matrix, _ = models.training_matrix(tables.stored_model_tasks(spark, sf_dir), rules)
     found = models.train_classifier(matrix, rules).transform(matrix)
     return found.groupBy("label", "prediction").agg(F.count("*").alias("tasks"))
 
@@ -562,7 +562,7 @@ def train_classifier(spark, sf_dir):
 def train_regressor(spark, sf_dir):
     """Duration the trained regressor gives the short tasks, by true duration."""
     rules = tables.model_rules(**FEW_ROUNDS)
-    matrix, _ = models.training_matrix(tables.model_tasks(spark, sf_dir), rules)
+    matrix, _ = models.training_matrix(tables.stored_model_tasks(spark, sf_dir), rules)
     classifier = models.train_classifier(matrix, rules)
     regressor = models.train_regressor(matrix, classifier, rules)
     found = regressor.transform(matrix.where(F.col("label") == 0))
@@ -574,7 +574,7 @@ def train_regressor(spark, sf_dir):
 @query("predict_duration")
 def predict_duration(spark, sf_dir):
     rules = tables.model_rules(**FEW_ROUNDS)
-    tasks = store_and_reload(tables.model_tasks(spark, sf_dir), "tasks")
+    tasks = tables.stored_model_tasks(spark, sf_dir)
     return models.predict(tasks, models.train(tasks, rules), rules)
 
 

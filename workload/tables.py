@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from taskspark.operators.cleaning import CleaningRules
 from taskspark.plans.models import ModelRules
+from taskspark.session import store_and_reload
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -311,6 +312,11 @@ def model_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MODEL_TASKS)
 
 
+def stored_model_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned tasks as the model job finds them: a table the cleaning job has written."""
+    return store_and_reload(model_tasks(spark, sf_dir), "tasks")
+
+
 def sequence_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     given(spark, sf_dir, "events")
     return spark.sql(SEQUENCE_TASKS)
