@@ -1 +1,8 @@
 """Maintenance work orders on Spark: load, clean, model, compare task sequences."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -34,6 +34,10 @@ class Forest:
     depth: np.ndarray
     rows_per_tree: int
 
+    @property
+    def nodes(self) -> tuple[np.ndarray, ...]:
+        return self.feature, self.cut, self.low, self.depth
+
 
 def sample_pool(df: DataFrame, columns: Sequence[str], key: str, seed: int) -> np.ndarray:
     """At most ``POOL_ROWS`` rows, chosen by a hash of their key and so the same on every run.
@@ -111,11 +115,11 @@ def _grow_tree(rows, rng, height):
     return nodes
 
 
-def path_depths(forest: Forest, rows: np.ndarray) -> np.ndarray:
-    """Mean leaf depth of each row."""
+def path_depths(nodes: tuple[np.ndarray, ...], rows: np.ndarray) -> np.ndarray:
+    """Mean leaf depth of each row over the trees of ``Forest.nodes``."""
     total = np.zeros(len(rows))
     every = np.arange(len(rows))
-    for feature, cut, low, depth in zip(forest.feature, forest.cut, forest.low, forest.depth):
+    for feature, cut, low, depth in zip(*nodes):
         at = np.zeros(len(rows), dtype=np.int32)
         inner = feature[at] >= 0
         while inner.any():
@@ -124,7 +128,7 @@ def path_depths(forest: Forest, rows: np.ndarray) -> np.ndarray:
             at[inner] = low[here] + right
             inner = feature[at] >= 0
         total += depth[at]
-    return total / len(forest.feature)
+    return total / len(nodes[0])
 
 
 def with_outlier_score(
@@ -135,7 +139,7 @@ def with_outlier_score(
 ) -> DataFrame:
     """``outlier_score`` between 0 and 1; about 0.5 for an ordinary row."""
     forest = grow_forest(df, columns, key, seed)
-    shared = df.sparkSession.sparkContext.broadcast(forest)
+    shared = df.sparkSession.sparkContext.broadcast(forest.nodes)
     usual = max(mean_depth(forest.rows_per_tree), 1e-12)
 
     @F.pandas_udf("double")

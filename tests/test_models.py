@@ -51,7 +51,7 @@ def test_depths_equal_a_walk_of_each_tree(spark):
         return forest.depth[tree, at]
 
     want = [np.mean([walk(t, row) for t in range(outliers.TREES)]) for row in rows]
-    assert np.allclose(outliers.path_depths(forest, rows), want)
+    assert np.allclose(outliers.path_depths(forest.nodes, rows), want)
 
 
 def test_equal_rows_are_no_outliers(spark):
