@@ -32,6 +32,8 @@ from taskspark.session import store_and_reload
 
 PERCENT = 80
 SLOT_BITS = 18
+#: Bits of the table that tells which ids a step may need: 2 MB, whatever the number of ids.
+ID_BITS = 24
 
 
 def _slot(values: np.ndarray) -> np.ndarray:
@@ -109,15 +111,40 @@ def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(fits).select("a", "b", "a_n", "a_bits", "b_bits").mapInArrow(keep, "a long, b long")
 
 
+def _needed(rows: DataFrame, name: str, ids: DataFrame) -> DataFrame:
+    """Those of ``rows`` whose ``name`` may be one of ``ids`` (id), so that the others' texts and bitmaps need
+    not move for the join that follows. A table of hash bits decides: of a fixed size, the fuller the more it
+    lets through."""
+    place = F.pmod(F.xxhash64(name), F.lit(1 << ID_BITS))
+    marks = ids.select(F.col("id").alias(name)).select(place.alias("h"))
+    marks = marks.groupBy(F.shiftright("h", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(h & 63 AS INT)))").alias("w"))
+    found = marks.toArrow()
+    bits = np.zeros(1 << (ID_BITS - 6), np.int64)
+    bits[found["at"].to_numpy()] = found["w"].to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def known(places: pa.Array) -> pa.Array:
+        h = places.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[h >> 6] >> (h & 63)) & 1 == 1)
+
+    return rows.where(F.col(name).isNotNull()).where(F.arrow_udf(known, "boolean")(place))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
+
+
 def _similar(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets have the similarity, compared shingle by shingle."""
-    sizes = sets.select("doc_id", "n", "bits")
+    pairs = store_and_reload(pairs, "pairs")
+    sizes = _needed(sets.select("doc_id", "n", "bits"), "doc_id", _ends(pairs))
     left = sizes.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
     right = sizes.select(
         F.col("doc_id").alias("b"), F.col("n").alias("b_low"), F.col("n").alias("b_high"), F.col("bits").alias("b_bits")
     )
     likely = store_and_reload(_bounded(pairs.join(left, "a").join(right, "b"), percent), "likely")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = _needed(texts, "id", _ends(likely))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -200,7 +227,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     heads = rows.where("doc_id = rep").select("doc_id").distinct()
     columns = places.select("doc_id", "token").join(shared.select("token"), "token").join(heads, "doc_id", "left_semi")
     columns = store_and_reload(columns.select(F.col("doc_id").alias("r"), "token").distinct(), "columns")
-    sets = sets.join(heads, "doc_id", "left_semi")
 
     hubs = columns.groupBy("token").agg(F.min("r").alias("b"))
     stars = columns.join(hubs, "token").where("r > b").select(F.col("r").alias("a"), "b").distinct()
@@ -214,14 +240,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     cells = open_rows.select("token", F.col("g").alias("b")).distinct()
     asked = open_rows.join(cells, "token").where("g > b").select(F.col("r").alias("a"), "b").distinct()
 
-    member = groups.withColumnRenamed("node", "doc_id")
-    wanted = open_rows.select("g").distinct()
-    sized = sets.select("doc_id", "n", "bits").join(member, "doc_id", "left")
-    sized = sized.withColumn("g", F.coalesce("component", "doc_id")).join(wanted, "g", "left_semi")
+    # a link to another group shares a shingle with it, so its ends are all in open_rows
+    ends = store_and_reload(open_rows.select(F.col("r").alias("id"), "g").distinct(), "ends")
+    sized = _needed(sets.select("doc_id", "n", "bits"), "doc_id", ends)
+    sized = store_and_reload(sized.join(ends, sized["doc_id"] == ends["id"]).select("id", "g", "n", "bits"), "rows")
     unions = _group_unions(sized).select(
         F.col("g").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high"), F.col("bits").alias("b_bits")
     )
-    asking = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
+    asking = sized.select(F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
     opened = store_and_reload(_bounded(asked.join(asking, "a").join(unions, "b"), percent), "opened")
 
     queries = opened.select(F.col("a").alias("r"), F.col("b").alias("g_open")).join(open_rows.select("r", "token"), "r")
