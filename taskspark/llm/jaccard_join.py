@@ -22,8 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from taskspark.llm.arrays import WordHasher, ragged, slices
 from taskspark.llm.components import components
@@ -94,6 +95,22 @@ def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, wi
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, schema)
 
 
+def _enough(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, c, a_n, b_low, b_high) whose number c of common prefix shingles can still lead to a link.
+
+    Of two prefixes, all common shingles up to the end of the one that ends first are in both. So the overlap
+    is at most c plus the rest of that set, and a link of sets of sizes x and y asks for
+    ceil(p (x + y) / (100 + p)) common shingles. The least c over the sizes from b_low to b_high is at one end.
+    """
+    pairs = pairs.withColumn("x", F.greatest("b_low", F.expr(f"({percent} * a_n + 99) div 100")))
+    pairs = pairs.withColumn("y", F.least("b_high", F.expr(f"100 * a_n div {percent}")))
+    least = [
+        f"({percent} * (a_n + {k}) + {99 + percent}) div {100 + percent} - ({percent} * greatest(a_n, {k}) + 99) div 100"
+        for k in ("x", "y")
+    ]
+    return pairs.where(f"x <= y AND c >= least({least[0]}, {least[1]})")
+
+
 def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that their sizes and bitmaps leave possible; needs a_n, a_bits, b_low, b_high, b_bits."""
 
@@ -115,19 +132,24 @@ def _needed(rows: DataFrame, name: str, ids: DataFrame) -> DataFrame:
     """Those of ``rows`` whose ``name`` may be one of ``ids`` (id), so that the others' texts and bitmaps need
     not move for the join that follows. A table of hash bits decides: of a fixed size, the fuller the more it
     lets through."""
+    return rows.where(F.col(name).isNotNull()).where(_maybe(name, ids))
+
+
+def _maybe(name: str, ids: DataFrame) -> Column:
+    """Whether column ``name`` may be one of ``ids`` (id): never false for one that is."""
     place = F.pmod(F.xxhash64(name), F.lit(1 << ID_BITS))
     marks = ids.select(F.col("id").alias(name)).select(place.alias("h"))
     marks = marks.groupBy(F.shiftright("h", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(h & 63 AS INT)))").alias("w"))
     found = marks.toArrow()
     bits = np.zeros(1 << (ID_BITS - 6), np.int64)
     bits[found["at"].to_numpy()] = found["w"].to_numpy()
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    shared = ids.sparkSession.sparkContext.broadcast(bits)
 
     def known(places: pa.Array) -> pa.Array:
         h = places.to_numpy(zero_copy_only=False)
         return pa.array((shared.value[h >> 6] >> (h & 63)) & 1 == 1)
 
-    return rows.where(F.col(name).isNotNull()).where(F.arrow_udf(known, "boolean")(place))
+    return F.arrow_udf(known, "boolean")(place)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -238,21 +260,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     several = named.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("token")
     open_rows = store_and_reload(named.join(several, "token", "left_semi"), "open")
     cells = open_rows.select("token", F.col("g").alias("b")).distinct()
-    asked = open_rows.join(cells, "token").where("g > b").select(F.col("r").alias("a"), "b").distinct()
+    asked = open_rows.join(cells, "token").where("g > b").groupBy(F.col("r").alias("a"), "b").agg(F.count("*").alias("c"))
 
     # a link to another group shares a shingle with it, so its ends are all in open_rows
     ends = store_and_reload(open_rows.select(F.col("r").alias("id"), "g").distinct(), "ends")
-    sized = _needed(sets.select("doc_id", "n", "bits"), "doc_id", ends)
-    sized = store_and_reload(sized.join(ends, sized["doc_id"] == ends["id"]).select("id", "g", "n", "bits"), "rows")
-    unions = _group_unions(sized).select(
+    sizes = sets.select(F.col("doc_id").alias("id"), "n").join(ends, "id").distinct()
+    asking = sizes.select(F.col("id").alias("a"), F.col("n").alias("a_n"))
+    spread = sizes.groupBy(F.col("g").alias("b")).agg(F.min("n").alias("b_low"), F.max("n").alias("b_high"))
+    asked = _enough(asked.join(asking, "a").join(spread, "b"), percent)
+    asked = store_and_reload(asked.select("a", "b").distinct(), "asked")
+
+    member = ends.join(asked.select(F.col("b").alias("g")).distinct(), "g", "left_semi")
+    wanted = asked.select(F.col("a").alias("id")).union(member.select("id")).distinct()
+    rows_of = _needed(sets.select("doc_id", "n", "bits"), "doc_id", wanted)
+    unions = _group_unions(rows_of.join(member, rows_of["doc_id"] == member["id"]).select("g", "n", "bits")).select(
         F.col("g").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high"), F.col("bits").alias("b_bits")
     )
-    asking = sized.select(F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
-    opened = store_and_reload(_bounded(asked.join(asking, "a").join(unions, "b"), percent), "opened")
+    query = rows_of.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
+    opened = store_and_reload(_bounded(asked.join(query, "a").join(unions, "b"), percent), "opened")
 
     queries = opened.select(F.col("a").alias("r"), F.col("b").alias("g_open")).join(open_rows.select("r", "token"), "r")
     inside = open_rows.select("token", F.col("r").alias("b"), F.col("g").alias("g_open"))
-    pairs = queries.join(inside, ["token", "g_open"]).select(F.col("r").alias("a"), "b").distinct()
+    pairs = queries.distinct().join(inside, ["token", "g_open"]).groupBy(F.col("r").alias("a"), "b").agg(F.count("*").alias("c"))
+    other = sizes.select(F.col("id").alias("b"), F.col("n").alias("b_low"), F.col("n").alias("b_high"))
+    pairs = _enough(pairs.join(asking, "a").join(other, "b"), percent).select("a", "b").distinct()
     found = components(links.union(_similar(pairs, docs, sets, percent, width)))
 
     named_rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left")
@@ -264,8 +295,38 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
 def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """One document of each group of near copies: the row with the smallest doc_id; repeats of it go too.
 
-    Documents without words stay.
+    Documents without words stay. Rows with a null doc_id stay unless they are copies of a document with one.
+    Only texts of rows that may have to go are moved.
     """
-    groups = near_duplicates(docs, percent, width)
+    groups = store_and_reload(near_duplicates(docs, percent, width), "groups")
+    gone = groups.where("doc_id != component_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select("doc_id")
+    several = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    doubt = store_and_reload(gone.union(several).where("doc_id IS NOT NULL").distinct(), "doubt")
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    maybe = _maybe("doc_id", doubt.select(F.col("doc_id").alias("id")))
+    named = docs.where("doc_id IS NOT NULL")
+    sure = named.where(~maybe)
+    judged = named.where(maybe).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = docs.where("doc_id IS NULL")
+    if gone.where("doc_id IS NULL").limit(1).count():
+        nameless = _nameless(nameless, docs, width)
+    return sure.union(judged.select(*docs.columns)).union(nameless)
+
+
+def _nameless(rows: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Rows without an id whose shingle set no row with an id has."""
+    nothing = np.zeros(1 << SLOT_BITS, np.uint8)
+    known = shingle_table(docs.where("doc_id IS NOT NULL"), nothing, PERCENT, width).where("n > 0").select("digest")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        hasher = WordHasher()
+        for batch in slices(batches, "text"):
+            sets = shingle_sets(batch.column("text"), hasher, width)
+            digests = [hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in sets]
+            yield batch.append_column("_digest", pa.array(digests, pa.binary()))
+
+    schema = StructType([*rows.schema.fields, StructField("_digest", BinaryType())])
+    marked = rows.mapInArrow(add, schema)
+    return marked.join(known.withColumnRenamed("digest", "_digest").distinct(), "_digest", "left_anti").drop("_digest")
