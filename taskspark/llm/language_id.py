@@ -77,7 +77,9 @@ def fit(docs: DataFrame, per_language: int = LEARNED_PER_LANGUAGE, landmarks: in
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_language)
-    rows = docs.select("doc_id", "lang", "text").join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"])
+    rows = docs.select("doc_id", "lang", "text").join(
+        F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]
+    )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     bound = F.when(F.col("toxic") == 1, toxic_rows).otherwise(clean_rows)
     chosen = known.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= bound).drop("_place")
     totals = {row.toxic: row["count"] for row in known.groupBy("toxic").count().collect()}
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)))
     rows = store_and_reload(rows.withColumn("toxic", F.col("toxic").cast("double")), "labelled")
     taken = {row.toxic: row["count"] for row in rows.groupBy("toxic").count().collect()}
     share = totals.get(1, 0) / max(sum(totals.values()), 1)
