@@ -15,13 +15,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from taskspark.llm.arrays import mix, ragged, slices
+from taskspark.llm.samples import by_hash
 
-#: Bounds of the labelled sample that is learned from, and of the landmarks in it, both per language.
+#: Expected size of the labelled sample that is learned from, and bound of the landmarks in it, both per language.
 LEARNED_PER_LANGUAGE = 500
 LANDMARKS_PER_LANGUAGE = 60
 RIDGE = 0.1
@@ -72,14 +73,13 @@ def held_out(doc_id, parts: int, rest: int):
 
 
 def fit(docs: DataFrame, per_language: int = LEARNED_PER_LANGUAGE, landmarks: int = LANDMARKS_PER_LANGUAGE) -> Model:
-    """Learn from the labelled rows of ``docs`` (doc_id, text, lang): of every language the ``per_language`` rows
-    that come first by a hash of their id. Rows without a language or without a letter teach nothing."""
-    known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_language)
-    rows = docs.select("doc_id", "lang", "text").join(
-        F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]
-    )
+    """Learn from the labelled rows of ``docs`` (doc_id, text, lang): of every language about ``per_language``
+    rows, those whose hash of the id is low. Rows without a language, an id or a letter teach nothing; of rows
+    that repeat an id and a language, one does."""
+    known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", "text")
+    totals = {row.lang: row["count"] for row in known.groupBy("lang").count().collect()}
+    chosen = known.where(by_hash("doc_id", "lang", totals, dict.fromkeys(totals, per_language)))
+    rows = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

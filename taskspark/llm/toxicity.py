@@ -17,13 +17,14 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taskspark.llm.arrays import ragged, slices
+from taskspark.llm.samples import by_hash
 from taskspark.session import store_and_reload
 
-#: Bounds of the labelled sample that is learned from, per class, and of the lexicon.
+#: Expected size of the labelled sample that is learned from, per class, and bound of the lexicon.
 TOXIC_ROWS, CLEAN_ROWS = 5_000, 10_000
 LEXICON_WORDS = 3_000
 SEEN_IN, WEAK, STRONG = 3, 1.5, 3.0
@@ -137,15 +138,14 @@ def _learned_words(rows: DataFrame) -> dict[str, float]:
 def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
     """Learn from the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) covers.
 
-    At most ``toxic_rows`` and ``clean_rows`` of them, those that come first by a hash of their id; the
+    About ``toxic_rows`` and ``clean_rows`` of them, those whose hash of the id is low; the
     calibration weighs them back to the shares of all labelled rows. A document with two labels is toxic if one
     says so; null labels and ids teach nothing. If a class is missing, every score is the toxic share.
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    bound = F.when(F.col("toxic") == 1, toxic_rows).otherwise(clean_rows)
-    chosen = known.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= bound).drop("_place")
     totals = {row.toxic: row["count"] for row in known.groupBy("toxic").count().collect()}
+    bounds = {kind: toxic_rows if kind == 1 else clean_rows for kind in totals}
+    chosen = known.where(by_hash("doc_id", "toxic", totals, bounds))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)))
     rows = store_and_reload(rows.withColumn("toxic", F.col("toxic").cast("double")), "labelled")
     taken = {row.toxic: row["count"] for row in rows.groupBy("toxic").count().collect()}
