@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from taskspark.llm import licenses, secrets, sql, toxicity
 from taskspark.llm.attribution import attribute
 from taskspark.llm.chat import format_conversations, read_back
+from taskspark.llm.collocations import collocations
 from taskspark.llm.decontamination import leaks
 from taskspark.llm.jaccard_join import near_duplicates
 from taskspark.llm.language_id import fit, held_out, predict
 from taskspark.llm.pieces import round_trip
 from taskspark.llm.quality_rules import ledger, verdict
+from taskspark.llm.vector_codes import compress, report
+from taskspark.llm.warc import converted_pages
 
 #: Folder of the public vocabulary files, the same on every machine.
 VOCABULARIES = "/opt/tokenizers"
@@ -85,6 +88,21 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page in a WARC archive that was converted from ARC archives, as read back."""
+    return converted_pages(table(spark, folder, "pages"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and error of every vector, with codebooks from ball k-means over all of them."""
+    return report(*compress(table(spark, folder, "embeddings")))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 strongest phrases of each language."""
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_pieces": op1_pieces,
     "op2_toxicity": op2_toxicity,
@@ -96,5 +114,15 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_licenses": op9_licenses,
     "op10_token_counts": op10_token_counts,
+    "op11_warc": op11_warc,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_collocations": op13_collocations,
+}
+ORACLE = {
+    "op3_jaccard_join": sql.JACCARD,
+    "op4_quality_rules": sql.QUALITY,
+    "op6_chat": sql.CHAT,
+    "op11_warc": sql.WARC,
+    "op12_vector_codes": sql.VECTOR_CODES,
+    "op13_collocations": sql.COLLOCATIONS,
 }
-ORACLE = {"op3_jaccard_join": sql.JACCARD, "op4_quality_rules": sql.QUALITY, "op6_chat": sql.CHAT}
