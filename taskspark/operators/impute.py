@@ -2,68 +2,104 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_ROWS = 1_000_000
+from taskspark.session import store_and_reload
+
 ACCURACY = 10_000
+#: How far from the middle a bracket is laid: more than the sketch can err.
+MARGIN = 5 / ACCURACY
 
 
-def medians(df: DataFrame, columns: Sequence[str], exact_rows: int = EXACT_ROWS) -> dict[str, float]:
-    """Exact medians of all columns in a few passes of one bounded aggregation each.
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Exact medians of all columns; a column without values has none. NaN counts as the largest value.
 
-    A sketch brackets the middle, a count proves that the bracket holds it, and the next pass looks
-    only inside. Once at most ``exact_rows`` values are left, their exact percentile is taken.
+    A sketch brackets the middle of every column and a count proves the bracket, so that only values
+    near the middle move. Those are then counted and placed exactly by ``order_values``. A column whose
+    bracket does not hold (or is one value) goes there whole or not at all: no size changes the answer.
     """
     values = {c: F.col(c).cast("double") for c in columns}
-    sizes = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first()
-    middle = {c: ((sizes[c] - 1) // 2, sizes[c] // 2) for c in columns if sizes[c]}
-    inside: dict[str, tuple[float | None, float | None, int, int]] = {
-        c: (None, None, 0, sizes[c]) for c in middle
-    }
-    while True:
-        wide = [c for c, (lo, hi, _, n) in inside.items() if n > exact_rows and (lo is None or lo < hi)]
-        if not wide:
-            break
-        brackets = df.agg(
-            *[_bracket(_within(values[c], *inside[c][:2]), middle[c], inside[c]).alias(c) for c in wide]
-        ).first()
-        counts = df.agg(
-            *[F.count_if(values[c] < brackets[c][0]).alias(f"below_{c}") for c in wide],
-            *[F.count_if(values[c].between(*brackets[c])).alias(f"inside_{c}") for c in wide],
-        ).first()
-        for c in wide:
-            below, n = counts[f"below_{c}"], counts[f"inside_{c}"]
-            if not (below <= middle[c][0] and middle[c][1] < below + n and n < inside[c][3]):
-                raise ArithmeticError(f"no narrower bracket for the median of {c}")
-            inside[c] = (*brackets[c], below, n)
-    if not inside:
+    around = [0.5 - MARGIN, 0.5 + MARGIN]
+    first = df.agg(
+        *[F.count(v).alias(f"n_{c}") for c, v in values.items()],
+        *[F.percentile_approx(v, around, ACCURACY).alias(f"at_{c}") for c, v in values.items()],
+    ).first()
+    sizes = {c: first[f"n_{c}"] for c in columns if first[f"n_{c}"]}
+    if not sizes:
         return {}
-    left = df.select(*[_within(values[c], lo, hi).alias(c) for c, (lo, hi, *_) in inside.items()])
-    picks = []
-    for c, (_, _, below, n) in inside.items():
-        for k, rank in zip(("low", "high"), middle[c]):
-            share = (rank - below + 0.5) / n
-            picks.append(
-                F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY `{c}`)").alias(f"{k}_{c}")
-            )
-    found = left.agg(*picks).first()
-    return {c: (found[f"low_{c}"] + found[f"high_{c}"]) / 2 for c in inside}
-
-
-def _within(value: Column, low: float | None, high: float | None) -> Column:
-    return value if low is None else F.when(value.between(low, high), value)
-
-
-def _bracket(value: Column, middle: tuple[int, int], state: tuple) -> Column:
-    """Two values around the middle ranks, further apart than the sketch can err."""
-    _, _, below, n = state
-    margin = 2 * n / ACCURACY + 1
-    low = max(0.0, (middle[0] - below - margin) / n)
-    high = min(1.0, (middle[1] - below + margin) / n)
-    return F.percentile_approx(value, [low, high], ACCURACY)
+    brackets = {c: first[f"at_{c}"] for c in sizes}
+    counts = df.agg(
+        *[F.count_if(values[c] < low).alias(f"below_{c}") for c, (low, _) in brackets.items()],
+        *[F.count_if(values[c].between(low, high)).alias(f"inside_{c}") for c, (low, high) in brackets.items()],
+    ).first()
+    middle, kept, out = {}, [], {}
+    for c, n in sizes.items():
+        ranks, below, inside = ((n - 1) // 2, n // 2), counts[f"below_{c}"], counts[f"inside_{c}"]
+        (low, high), value = brackets[c], values[c]
+        if not (below <= ranks[0] and ranks[1] < below + inside):
+            below = 0
+        elif low == high:
+            out[c] = low
+            continue
+        else:
+            value = F.when(value.between(low, high), value)
+        kept.append(value.alias(c))
+        middle[c] = [r - below for r in ranks]
+    if middle:
+        found = order_values(df.select(*kept), middle)
+        out |= {c: found[c][0] / 2 + found[c][1] / 2 for c in middle}
+    return {c: out[c] for c in columns if c in out}
+
+
+def order_values(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[str, list]:
+    """The values at the given places (from 0, in ascending order, nulls left out) of each column.
+
+    Equal values are counted before they move, so a constant or a hot value is one row per task. The
+    distinct values are sorted by range and stored; the sizes of the stretches lead to the stretch that
+    holds a place, and only there a running count is formed. No stretch grows with ties. Columns must
+    have one type; a place beyond the last raises.
+    """
+    pairs = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("value")) for c in ranks]
+    counted = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    counted = counted.groupBy("name", "value").agg(F.count("*").alias("n"))
+    placed = counted.repartitionByRange("name", "value").withColumn("stretch", F.spark_partition_id())
+    placed = store_and_reload(placed, "order")
+    sizes = placed.groupBy("name", "stretch").agg(F.sum("n").alias("n")).orderBy("name", "stretch").collect()
+    wanted = []
+    for c, places in ranks.items():
+        for place in sorted(set(places)):
+            before = 0
+            for row in sizes:
+                if row["name"] == c:
+                    if before <= place < before + row["n"]:
+                        wanted.append((c, row["stretch"], before, place))
+                        break
+                    before += row["n"]
+            else:
+                raise IndexError(f"{c} has {before} values, none at place {place}")
+    if not wanted:
+        return {c: [] for c in ranks}
+    here = reduce(lambda a, b: a | b, [(F.col("name") == c) & (F.col("stretch") == s) for c, s, _, _ in wanted])
+    running = Window.partitionBy("name", "stretch").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    upto = placed.where(here).withColumn("upto", F.sum("n").over(running))
+    hits = [
+        (F.col("name") == c) & (F.col("stretch") == s) & (F.col("upto") > p - b) & (F.col("upto") - F.col("n") <= p - b)
+        for c, s, b, p in wanted
+    ]
+    rows = upto.where(reduce(lambda a, b: a | b, hits)).collect()
+    found = {}
+    for c, s, b, p in wanted:
+        found[c, p] = next(
+            r["value"] for r in rows
+            if r["name"] == c and r["stretch"] == s and r["upto"] - r["n"] <= p - b < r["upto"]
+        )
+    return {c: [found[c, p] for p in places] for c, places in ranks.items()}
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
@@ -74,14 +110,11 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {r["name"]: r["top"]["value"] for r in rows}
 
 
-def learn_levels(df: DataFrame, columns: Sequence[str], most: int = 1_000) -> dict[str, list[str]]:
-    """Sorted values of each column. More than ``most`` is no category column and raises."""
+def learn_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted values of each column, to name a column each. For many values see ``learn_vectors``."""
     values = _value_counts(df, columns).where(F.col("value").isNotNull())
-    rows = values.select("name", "value").limit(most * len(columns) + 1).collect()
-    levels = {c: sorted(r["value"] for r in rows if r["name"] == c) for c in columns}
-    if len(rows) > most * len(columns) or any(len(v) > most for v in levels.values()):
-        raise ValueError(f"more than {most} levels in one of {list(columns)}")
-    return levels
+    rows = values.select("name", "value").collect()
+    return {c: sorted(r["value"] for r in rows if r["name"] == c) for c in columns}
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,3 +142,38 @@ def one_hot(df: DataFrame, levels: dict[str, Sequence[str]]) -> DataFrame:
         for v in vs
     }
     return df.withColumns(hot).drop(*levels)
+
+
+def learn_vectors(df: DataFrame, columns: Sequence[str], into: str = "features") -> PipelineModel:
+    """One-hot encoding of columns with any number of levels, as one sparse vector ``into``.
+
+    Levels are the distinct texts of a column, in ascending order, columns one after another. Their names
+    (``Column_value``) are metadata of the vector, see ``vector_names``; a value that is no level, null
+    included, has only zeros. Learn once, then ``transform`` training and prediction rows alike; the
+    model can be saved. Rows hold as many entries as there are columns, whatever the number of levels.
+    """
+    texts = [f"__text_{c}" for c in columns]
+    places = [f"__place_{c}" for c in columns]
+    indexer = StringIndexer(inputCols=texts, outputCols=places, stringOrderType="alphabetAsc", handleInvalid="keep")
+    encoder = OneHotEncoder(inputCols=places, outputCols=list(columns), dropLast=True)
+    assembler = VectorAssembler(inputCols=list(columns), outputCol=into)
+    return Pipeline(stages=[indexer, encoder, assembler]).fit(_as_texts(df, columns))
+
+
+def _as_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns as texts under names of their own, so that their names are free for the encoder."""
+    return df.withColumns({f"__text_{c}": F.col(c).cast("string") for c in columns}).drop(*columns)
+
+
+def one_hot_vectors(df: DataFrame, model: PipelineModel) -> DataFrame:
+    """``df`` with the vector of a model of ``learn_vectors`` in place of the encoded columns."""
+    indexer, encoder = model.stages[0], model.stages[1]
+    columns = encoder.getOutputCols()
+    rows = model.transform(_as_texts(df, columns))
+    return rows.drop(*columns, *indexer.getInputCols(), *indexer.getOutputCols())
+
+
+def vector_names(df: DataFrame, column: str = "features") -> list[str]:
+    """The level names of a vector column, in the order of its places."""
+    kinds = df.schema[column].metadata["ml_attr"]["attrs"]
+    return [a["name"] for a in sorted((a for of in kinds.values() for a in of), key=lambda a: a["idx"])]

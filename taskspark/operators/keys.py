@@ -34,7 +34,8 @@ class Lookup:
     """One foreign key: match ``on`` (source column -> dimension column), take ``id`` as ``name``.
 
     ``required`` rows without a match are rejects; the others keep a null id. ``name`` may be the
-    name of a matched column, which it then replaces.
+    name of a matched column, which it then replaces. With ``several`` a key may have several ids in
+    the dimension, of which the least is taken, so that no source row is doubled.
     """
 
     entity: str
@@ -42,6 +43,17 @@ class Lookup:
     name: str
     id: str = "Id"
     required: bool = True
+    several: bool = False
+
+
+def choices(look: Lookup, dim: DataFrame) -> DataFrame:
+    """Dimension rows whose key has several ids, with the id that ``resolve`` takes as ``chosen``."""
+    keys = list(look.on.values())
+    text = {k: F.col(k).cast("string").alias(f"__{k}") for k in keys}
+    least = dim.groupBy(*text.values()).agg(F.min(look.id).alias("chosen"), F.count("*").alias("__n"))
+    several = least.where(F.col("__n") > 1).drop("__n")
+    same = reduce(lambda a, b: a & b, [F.col(k).cast("string") == F.col(f"__{k}") for k in keys])
+    return dim.join(several, same).drop(*[f"__{k}" for k in keys])
 
 
 def resolve(source: DataFrame, lookups: Sequence[tuple[Lookup, DataFrame]]) -> DataFrame:
@@ -58,6 +70,9 @@ def resolve(source: DataFrame, lookups: Sequence[tuple[Lookup, DataFrame]]) -> D
             F.col(look.id).alias(f"__id{n}"),
             *[F.col(d).cast("string").alias(f"__k{n}_{s}") for s, d in look.on.items()],
         )
+        if look.several:
+            keys = [f"__k{n}_{s}" for s in look.on]
+            renamed = renamed.groupBy(*keys).agg(F.min(f"__id{n}").alias(f"__id{n}"))
         match = reduce(
             lambda a, b: a & b,
             [F.col(s).cast("string") == F.col(f"__k{n}_{s}") for s in look.on],
@@ -69,8 +84,8 @@ def resolve(source: DataFrame, lookups: Sequence[tuple[Lookup, DataFrame]]) -> D
         used.update(look.on)
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     kept = [c for c in columns if c not in used]
-    keys = [F.col(c).alias(f"key_{c}") for c in columns if c in used]
-    return df.select(*kept, *ids, *keys, reason.alias("reject_reason"))
+    named = [F.col(c).alias(f"key_{c}") for c in columns if c in used]
+    return df.select(*kept, *ids, *named, reason.alias("reject_reason"))
 
 
 def resolved(df: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ class Entity:
     rename: dict[str, str] = field(default_factory=dict)
     lookups: tuple[Lookup, ...] = ()
     dates: tuple[str, ...] = ()
+    types: dict[str, str] = field(default_factory=dict)
     order: int = 0
     enabled: bool = True
 
@@ -97,8 +98,10 @@ ENTITIES = {
                     "SupplierVendor", {"SupplierVendor": "SupplierVendor_Id"}, "SupplierVendor_Id"
                 ),
                 Lookup("TaskStatus", {"TaskStatus": "TaskStatus"}, "Task_Status_Id"),
+                # A code may have several texts in a group, and so several ids.
                 Lookup(
-                    "TaskCode", {"TaskCode": "TaskCode", "GroupCode": "GroupCode"}, "Task_Code_Id"
+                    "TaskCode", {"TaskCode": "TaskCode", "GroupCode": "GroupCode"}, "Task_Code_Id",
+                    several=True,
                 ),
             ),
             dates=("Created_On", "Completed_On", "Planned_Start", "Planned_Finish"),

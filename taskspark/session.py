@@ -36,8 +36,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no result is read from them any more."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    delete_path(spark, scratch_root(spark))
 
 
 def enable_checkpoints(spark: SparkSession) -> None:
@@ -46,17 +45,25 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-def store_and_reload(df: DataFrame, label: str) -> DataFrame:
+def store_and_reload(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the files.
 
     Cuts the lineage, survives a lost executor, and fixes values such as row positions that a
-    second evaluation might assign differently.
+    second evaluation might assign differently. ``group_bytes`` bounds what a writer gathers of
+    wide columns before it passes them on.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, on whatever file system the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
     jvm = spark.sparkContext._jvm

@@ -5,26 +5,29 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taskspark import vocab
 from taskspark.session import path_exists
+from taskspark.sources.cells import read_options
 
+MARKS = [T.StructField("reject_reason", T.StringType()), T.StructField("record", T.StringType())]
 
-def scan_sheets(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Raw sheets by name, every cell text. A missing file raises."""
-    return {
-        sheet: spark.read.option("header", True).option("inferSchema", False).csv(path)
-        for sheet, path in paths.items()
-    }
 
+def scan_sheets(spark: SparkSession, paths: Mapping[str, str], line_breaks: bool = True) -> dict[str, DataFrame]:
+    """Raw sheets by name, every cell text, outer blanks and line breaks kept. An empty cell is null, a quoted
+    empty one blank. A missing file raises."""
+    reader = spark.read.option("inferSchema", False).options(**read_options(line_breaks))
+    return {sheet: reader.csv(path) for sheet, path in paths.items()}
 
-def scan_entity(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """``;`` file of one entity with its ``Id`` left out; all other columns are text."""
+
+def scan_entity(spark: SparkSession, path: str, columns: list[str], line_breaks: bool = True) -> DataFrame:
+    """``;`` file of one entity with its ``Id`` left out; all other columns are text, as ``write_entity`` had it."""
     schema = T.StructType(
         [T.StructField("Id", T.LongType())] + [T.StructField(c, T.StringType()) for c in columns]
     )
-    reader = spark.read.schema(schema).option("header", True).option("sep", ";")
+    reader = spark.read.schema(schema).option("sep", ";").options(**read_options(line_breaks))
     return reader.csv(path).drop("Id")
 
 
@@ -35,13 +38,77 @@ def scan_entity_folder(
     return {name: scan_entity(spark, f"{root}/{name}", cols) for name, cols in columns.items()}
 
 
-def scan_records(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Landed JSON records; nothing landed, or text that is not JSON, gives no rows."""
+def scan_records_marked(
+    spark: SparkSession, path: str, schema: str | T.StructType, whole_files: bool = False
+) -> DataFrame:
+    """Landed JSON bodies as records of ``schema``, with ``reject_reason`` and ``record`` (its JSON text).
+
+    Each line is a body, or each file with ``whole_files``: a JSON object, or an array of them. Blank bodies and
+    empty arrays hold no records. A body that is not JSON (text behind it and repeated names included) is one
+    row ``not JSON``, anything else than an object in it one row ``no object``, and a value that is not of its
+    column's type makes the record a row ``cast <column>``, the first such column by name of the schema. Rejects
+    keep null columns and their text. Which rows come out does not depend on the columns that are read on.
+
+    ``schema`` has flat columns; names are matched exactly, absent fields are null. Nothing landed gives no rows.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    flat = [f for f in schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    if len(flat) < len(schema.fields):
+        raise ValueError("records are flat: no arrays, maps or structs")
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+        return spark.createDataFrame([], T.StructType(schema.fields + MARKS))
+    body = spark.read.text(path, wholetext=whole_files).where(F.trim("value") != "")
+    # In brackets, so that text behind a complete body is an error too.
+    wrapped = body.withColumn("parts", F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).try_cast("array<variant>"))
+    alone = F.size("parts") == 1
+    inner = F.when(alone, F.get("parts", F.lit(0)))
+    several = F.schema_of_variant("inner").startswith("ARRAY")
+    items = wrapped.select("value", inner.alias("inner")).select(
+        "value",
+        F.explode(
+            F.when(F.col("inner").isNull(), F.array(F.lit(None).cast("variant")))
+            .when(several, F.col("inner").try_cast("array<variant>"))
+            .otherwise(F.array("inner"))
+        ).alias("item"),
+        F.col("inner").isNull().alias("broken"),
+    )
+    texts = {f.name: F.try_variant_get("item", _path(f.name), "string") for f in flat}
+    kinds = {f.name: f.dataType for f in flat}
+    failed = [
+        F.when(text.isNotNull() & text.try_cast(kinds[c]).isNull(), F.lit(f"cast {c}")) for c, text in texts.items()
+    ]
+    is_object = F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False))
+    reason = F.when(F.col("broken"), F.lit("not JSON")).when(~is_object, F.lit("no object")).otherwise(
+        F.coalesce(*failed, F.lit(None).cast("string"))
+    )
+    whole = items.select(
+        *[text.alias(c) for c, text in texts.items()],
+        reason.alias("reject_reason"),
+        F.when(F.col("broken"), F.col("value")).otherwise(F.to_json("item")).alias("record"),
+    )
+    good = F.col("reject_reason").isNull()
+    return whole.select(
+        *[F.when(good, F.col(f"`{c}`")).try_cast(t).alias(c) for c, t in kinds.items()],
+        "reject_reason",
+        F.when(~good, F.col("record")).alias("record"),
+    )
+
+
+def _path(name: str) -> str:
+    """The place of a field in a record, whose name may hold one kind of quotes."""
+    mark = "'" if '"' in name else '"'
+    if mark in name:
+        raise ValueError(f"a field name with both kinds of quotes: {name}")
+    return f"$[{mark}{name}{mark}]"
+
+
+def scan_records(
+    spark: SparkSession, path: str, schema: str | T.StructType, whole_files: bool = False
+) -> DataFrame:
+    """The records of ``scan_records_marked`` whose every value is of its column's type."""
+    rows = scan_records_marked(spark, path, schema, whole_files)
+    return rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "record")
 
 
 def load_sources(

@@ -1,16 +1,18 @@
 """Extraction, ids, keys, sinks and loads on hand-made rows."""
 
 from collections import Counter
+from dataclasses import replace
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
 
 from taskspark.operators import extract as ex
 from taskspark.operators import ids
-from taskspark.operators.keys import Lookup, new_rows, resolve, resolved, unresolved, without_partner
+from taskspark.operators.keys import Lookup, choices, new_rows, resolve, resolved, unresolved, without_partner
 from taskspark.plans import jobs, load
 from taskspark.plans.entities import ENTITIES
-from taskspark.session import scratch_path
+from taskspark.session import path_exists, scratch_path
 from taskspark.sources import scans, sinks
 from taskspark.sources.tables import Tables, query
 
@@ -103,6 +105,14 @@ def test_without_partner(spark):
     assert Counter(got) == Counter([("2", "b", None, "left"), (None, "c", None, "left"), ("3", None, 8, "right")])
 
 
+def test_lookup_that_takes_the_least_of_several_ids(spark):
+    source = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    dim = spark.createDataFrame([(2, "a", "x"), (1, "a", "y"), (5, "b", "z"), (9, None, "u"), (8, None, "u")], "Id int, k string, t string")
+    look = Lookup("K", {"k": "k"}, "k", several=True)
+    assert sorted(rows_of(resolved(resolve(source, [(look, dim)])))) == [(1,), (1,), (5,)]
+    assert sorted(rows_of(choices(look, dim))) == [(1, "a", "y", 1), (2, "a", "x", 1)]
+
+
 def test_mark_rejects_keeps_every_row(spark):
     rows = [("a", "1", "x"), ("a", "1", "x"), ("a", "2", "y"), ("b", "no", "z"), ("b", None, "z"), ("c", "3", None)]
     df = spark.createDataFrame(rows, "k string, n string, t string")
@@ -121,8 +131,61 @@ def test_entity_file_round_trip(spark):
     assert not sinks.write_entity(spark.createDataFrame([], "Id int, a string"), path)
     df = spark.createDataFrame([(1, "0010", 'say "x;y"'), (2, "", None)], "Id int, a string, b string")
     assert sinks.write_entity(df, path)
-    # A blank cell is read as missing; the import turns both into a blank.
-    assert rows_of(scans.scan_entity(spark, path, ["a", "b"])) == [("0010", 'say "x;y"'), (None, None)]
+    assert sorted(rows_of(scans.scan_entity(spark, path, ["a", "b"]))) == [("", None), ("0010", 'say "x;y"')]
+    assert not sinks.write_entity(df.limit(0), path) and not path_exists(spark, path)
+
+
+AWKWARD = [
+    "a", "", None, " outer ", "\t", "\n", 'q"uote', '";";', "a;b", "l1\nl2", "l1\r\nl2", "cr\rx", "back\\slash", '\\"',
+    "\\", '"', '""', "ends\\", "#x", "null", "-", ",", "'", 'x"', " ", "\ufeffx", "0010", "\\N", "é\U0001f600",
+]
+
+
+@pytest.mark.parametrize("rows_per_file", [1, 1_000])
+def test_texts_come_back_as_they_were(spark, rows_per_file):
+    path = scratch_path(spark, "file")
+    rows = [(n, a, b) for n, (a, b) in enumerate(product(AWKWARD, [None, "", ' "x;\n', "z"]))]
+    assert sinks.write_entity(spark.createDataFrame(rows, "Id long, a string, b string").coalesce(2), path, rows_per_file)
+    got = rows_of(scans.scan_entity(spark, path, ["a", "b"]))
+    assert Counter(got) == Counter(r[1:] for r in rows)
+
+
+def test_sheets_keep_their_cells(spark, tmp_path):
+    (tmp_path / "s.csv").write_bytes(b'a,b\r\n" x ","l1\r\nl2"\r\n,""\r\n"say ""hi""",0010 \r\n')
+    got = rows_of(scans.scan_sheets(spark, {"s": str(tmp_path / "s.csv")})["s"])
+    assert got == [(" x ", "l1\nl2"), (None, ""), ('say "hi"', "0010 ")]
+
+
+BODIES = [
+    '{"a": 1, "b": "x"}', '[{"a": 2, "b": "y"}, {"a": "n/a"}]', '{"a": 1,', "5", '[1, {"a": "3"}]', "", "  ", "[]", '{"a": {"z": 1}}',
+    '{"a": null}', "null", "[null]", "<html>", '{"a": 1}{"a": 2}', '{"a": 1}, {"a": 2}', '[{"a": 1},', '{"A": 5}',
+    '{"a": 1, "a": 2}', '  [ {"a": 7, "more": []} ] ', '{"a": 1.5}', '{"b": "é \\" ;"}',
+]
+
+
+def test_every_record_is_good_or_rejected(spark, tmp_path):
+    (tmp_path / "r.json").write_text("\n".join(BODIES))
+    rows = scans.scan_records_marked(spark, str(tmp_path / "r.json"), "a bigint, b string")
+    good = rows.where("reject_reason IS NULL").select("a", "b", "record")
+    assert Counter(rows_of(good)) == Counter(
+        [(1, "x", None), (2, "y", None), (3, None, None), (None, None, None), (None, None, None), (7, None, None), (None, 'é " ;', None)]
+    )
+    bad = rows.where("reject_reason IS NOT NULL")
+    assert Counter(rows_of(bad.select("reject_reason"))) == {
+        ("cast a",): 3, ("not JSON",): 6, ("no object",): 4
+    }
+    assert rows_of(bad.where("a IS NOT NULL OR b IS NOT NULL")) == [] and {r["record"] for r in bad.collect()} >= {"<html>", "[{\"a\": 1},"}
+    for columns in (["a"], ["b"], ["a", "b"], []):
+        assert scans.scan_records(spark, str(tmp_path / "r.json"), "a bigint, b string").select(*columns).count() == 7
+
+
+def test_whole_files_as_bodies(spark, tmp_path):
+    (tmp_path / "one.json").write_text('[\n {"a": 1,\n  "b": "x"},\n {"a": 2}\n]\n')
+    (tmp_path / "two.json").write_text('{\n "a": 3\n}')
+    got = rows_of(scans.scan_records(spark, str(tmp_path), "a int, b string", whole_files=True))
+    assert sorted(got, key=str) == [(1, "x"), (2, None), (3, None)]
+    with pytest.raises(ValueError):
+        scans.scan_records(spark, str(tmp_path), "a array<int>")
 
 
 def test_records_that_are_missing_or_broken(spark, tmp_path):
@@ -221,6 +284,52 @@ def test_split_then_import_twice(spark, sheets, tmp_path):
         assert len(found) == len(set(found)) == first[entity.name]
 
 
+def test_every_row_is_stored_known_or_rejected(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "tables"))
+    owners = spark.createDataFrame([("ann",), ("ann",), (None,), ("bob",)], "TaskOwner string")
+    entity = ENTITIES["TaskOwner"]
+    first = load.load_entity(entity, owners, store)
+    assert (first.rows, first.known, first.rejected) == (3, 0, 1)
+    assert rows_of(first.rejects) == [("ann", "duplicate key", 1)]
+    more = owners.union(spark.createDataFrame([("cyd",)], "TaskOwner string"))
+    again = load.load_entity(entity, more, store)
+    assert (again.rows, again.known, again.rejected) == (1, 4, 0) and again.rejects.count() == 0
+    assert sorted(r["TaskOwner_Id"] for r in store.read("TaskOwner").collect()) == ["", "ann", "bob", "cyd"]
+    assert store.read("TaskOwner").select("Id").distinct().count() == 4
+
+
+def test_a_value_of_the_wrong_type_is_a_reject(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "tables"))
+    entity = replace(ENTITIES["CodingCode"], types={"Coding": "int"})
+    rows = spark.createDataFrame([("1", "a"), ("x", "b"), ("2", "c")], "Coding string, CodingText string")
+    done = load.load_entity(entity, rows, store)
+    assert (done.rows, done.rejected) == (2, 1)
+    assert rows_of(done.rejects.select("Coding", "reject_reason")) == [("x", "cast Coding")]
+    assert dict(store.read("CodingCode").dtypes)["Coding"] == "int"
+
+
+def test_a_task_whose_code_has_two_texts_is_stored_once(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "tables"))
+    sources = {
+        "GroupCode": spark.createDataFrame([("g", "G")], "GroupCode string, GroupText string"),
+        "TaskCode": spark.createDataFrame([("c", "one", "g"), ("c", "two", "g")], "TaskCode string, TaskCodeText string, GroupCode string"),
+    }
+    load.load_all(sources, store)
+    look = next(x for x in ENTITIES["LayoutTask"].lookups if x.entity == "TaskCode")
+    dim = load.dimension(store, "TaskCode")
+    task = spark.createDataFrame([("c", "g", 1)], "TaskCode string, GroupCode string, n int")
+    assert resolve(task, [(look, dim)]).count() == 1
+    assert {r["TaskCodeText"] for r in choices(look, dim).collect()} == {"one", "two"}
+
+
+def test_loading_nothing(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "tables"))
+    none = spark.createDataFrame([], "TaskOwner string")
+    done = load.load_entity(ENTITIES["TaskOwner"], none, store)
+    assert (done.rows, done.known, done.rejected) == (0, 0, 0) and store.read("TaskOwner").columns == ["Id", "TaskOwner_Id"]
+    assert load.load_entity(ENTITIES["TaskOwner"], none, store).rows == 0
+
+
 def test_expansions_give_back_the_keys(spark, sheets, tmp_path):
     folder = str(tmp_path / "processed")
     jobs.split_raw(spark, sheets, folder)

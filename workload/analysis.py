@@ -457,6 +457,71 @@ def impute_median(spark, sf_dir):
     return impute.fill_numbers(rows, impute.medians(rows, ["days", "task"]))
 
 
+TIES_SQL = """
+SELECT 7 AS same, CASE WHEN l_linestatus = 'F' THEN 1 END AS one, CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS flag,
+       CASE WHEN l_linenumber < 7 THEN 5.0 ELSE l_extendedprice END AS tied, l_extendedprice AS price,
+       CASE WHEN l_quantity > 60 THEN 1 END AS nothing, l_discount - 0.05 AS signed
+FROM lineitem
+"""
+TIED = ("same", "one", "flag", "tied", "price", "nothing", "signed")
+
+
+@query(
+    "median_ties",
+    f"SELECT {', '.join(f'CAST(median(CAST({c} AS DOUBLE)) AS DOUBLE) AS {c}' for c in TIED)} FROM ({TIES_SQL})",
+)
+def median_ties(spark, sf_dir):
+    """Medians of a constant, a flag, a column of ties, plain ones and an empty one."""
+    tables.given(spark, sf_dir, "lineitem")
+    found = impute.medians(spark.sql(TIES_SQL), TIED)
+    return spark.createDataFrame([tuple(found.get(c) for c in TIED)], ", ".join(f"{c} double" for c in TIED))
+
+
+PRICE_RANKS = (0, 1, 999, 5000)
+
+
+@query(
+    "order_values",
+    f"""WITH p AS (SELECT l_extendedprice AS v, row_number() OVER (ORDER BY l_extendedprice) - 1 AS place FROM lineitem),
+k AS (SELECT p_name AS v, row_number() OVER (ORDER BY p_name) - 1 AS place FROM lineitem JOIN part ON p_partkey = l_partkey)
+SELECT p.place, p.v AS price, k.v AS name FROM p JOIN k USING (place) WHERE p.place IN {PRICE_RANKS}""",
+)
+def order_values(spark, sf_dir):
+    """Values at given places of the sorted lines, of a number and of a text with many ties."""
+    tables.given(spark, sf_dir, "lineitem", "part")
+    lines = spark.sql("SELECT l_extendedprice AS price, p_name AS name FROM lineitem JOIN part ON p_partkey = l_partkey")
+    price = impute.order_values(lines, {"price": PRICE_RANKS})["price"]
+    name = impute.order_values(lines, {"name": PRICE_RANKS})["name"]
+    return spark.createDataFrame(list(zip(PRICE_RANKS, price, name)), "place long, price double, name string")
+
+
+@query(
+    "one_hot_vectors",
+    f"""{WO}, rows AS (SELECT Id, Material, TaskOwner FROM work_orders),
+m AS (SELECT Material, row_number() OVER (ORDER BY Material) - 1 AS at FROM (SELECT DISTINCT Material FROM rows WHERE Material IS NOT NULL)),
+o AS (SELECT TaskOwner, (SELECT count(*) FROM m) + row_number() OVER (ORDER BY TaskOwner) - 1 AS at
+      FROM (SELECT DISTINCT TaskOwner FROM rows WHERE TaskOwner IS NOT NULL))
+SELECT Id, (SELECT count(*) FROM m) + (SELECT count(*) FROM o) AS levels,
+       concat_ws(',', CAST(m.at AS VARCHAR), CAST(o.at AS VARCHAR)) AS places,
+       concat_ws(',', 'Material_' || m.Material, 'TaskOwner_' || o.TaskOwner) AS names
+FROM rows LEFT JOIN m USING (Material) LEFT JOIN o USING (TaskOwner)""",
+)
+def one_hot_vectors(spark, sf_dir):
+    """Every task's material and owner as a sparse vector over all levels, read back with the level names."""
+    rows = tables.work_orders(spark, sf_dir).select("Id", "Material", "TaskOwner")
+    found = impute.one_hot_vectors(rows, impute.learn_vectors(rows, ["Material", "TaskOwner"]))
+    names = impute.vector_names(found)
+    level = spark.createDataFrame(list(enumerate(names)), "at int, level string")
+    parts = found.select("Id", F.unwrap_udt("features").alias("v"))
+    parts = parts.select("Id", F.col("v.size").cast("long").alias("levels"), F.col("v.indices").alias("at"))
+    spelt = parts.select("Id", F.explode("at").alias("at")).join(level, "at").groupBy("Id")
+    spelt = spelt.agg(F.array_sort(F.collect_list(F.struct("at", "level"))).alias("named"))
+    return parts.join(spelt, "Id", "left").select(
+        "Id", "levels", F.concat_ws(",", F.col("at").cast("array<string>")).alias("places"),
+        F.coalesce(F.concat_ws(",", F.col("named.level")), F.lit("")).alias("names"),
+    )
+
+
 @query(
     "impute_mode",
     f"""{WO}, top AS (SELECT

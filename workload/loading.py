@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from taskspark import vocab
 from taskspark.operators import extract as ex
 from taskspark.operators.ids import dense_ids
-from taskspark.operators.keys import Lookup, new_rows, resolve
+from taskspark.operators.keys import Lookup, choices, new_rows, resolve
 from taskspark.plans import load
 from taskspark.plans.entities import ENTITIES
 from taskspark.session import scratch_path, store_and_reload
-from taskspark.sources import scans, sinks
+from taskspark.sources import cells, scans, sinks
 from taskspark.sources.tables import Tables, cause_code_ids
 from taskspark.sources.tables import query as ad_hoc
 from workload import tables
@@ -366,10 +366,93 @@ def scan_raw_sheets(spark, sf_dir):
     path = scratch_path(spark, "raw")
     names = ("SAP_Raw_Extract", "PWC_EngineProgram")
     for name in names:
-        tables.sheet(spark, sf_dir, name).write.option("header", True).csv(f"{path}/{name}")
+        tables.sheet(spark, sf_dir, name).write.options(**cells.WRITE).csv(f"{path}/{name}")
     return scans.scan_sheets(spark, {n: f"{path}/{n}" for n in names})["SAP_Raw_Extract"]
 
 
+def _cells(*columns: str) -> str:
+    """All cells of a row as one text, in which null and blank differ."""
+    return " || '|' || ".join(f"coalesce({c}, '<null>')" for c in columns)
+
+
+ITEM_SHEET_SQL = """
+SELECT CAST(Notification AS VARCHAR) AS a, CAST(Item AS VARCHAR) AS b, min(TaskText) AS c, DamageCode AS d,
+       CASE WHEN DamageCode <> '70' THEN 'Damage ' || DamageCode END AS e, min(CauseCode) AS f,
+       'Cause ' || min(CauseCode) AS g
+FROM work_orders GROUP BY Notification, Item, DamageCode
+"""
+SAP_COLUMNS = tuple(
+    f'"{c}"'
+    for c in (
+        "Notification", "Item", "Task", "Material", "Description", "Created On", "Completed On", "Task text",
+        "Code group", "Task group text", "Task code", "Task code text", "Planned start", "Planned finish",
+        "Supplier Vendor", "Task Owner", "Task Status", "CATEGORY",
+    )
+)
+
+
+@query(
+    "scan_all_sheets",
+    f"""{WO}, sap AS ({SAP_SQL}), items AS ({ITEM_SHEET_SQL}), programs AS ({PROGRAMS_SQL})
+SELECT 'SAP_Raw_Extract' AS sheet, {_cells(*SAP_COLUMNS)} AS cells FROM sap
+UNION ALL SELECT 'LayoutType', {_cells(*"abcdefg")} FROM items
+UNION ALL SELECT 'PWC_EngineProgram', {_cells("Notification", "Coding", "CodingText", "Description")} FROM programs
+UNION ALL SELECT 'Categories', {_cells("p_brand", "p_type")} FROM part""",
+)
+def scan_all_sheets(spark, sf_dir):
+    """Every row of the four raw sheets, as written and scanned again."""
+    path, out = scratch_path(spark, "raw"), None
+    for name in tables.SHEETS:
+        tables.sheet(spark, sf_dir, name).write.options(**cells.WRITE).csv(f"{path}/{name}")
+    for name, rows in scans.scan_sheets(spark, {n: f"{path}/{n}" for n in tables.SHEETS}).items():
+        texts = [F.coalesce(F.col(f"`{c}`"), F.lit("<null>")) for c in rows.columns]
+        one = rows.select(F.lit(name).alias("sheet"), F.concat_ws("|", *texts).alias("cells"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+AWKWARD_SQL = r"""
+SELECT CAST(doc_id AS STRING) AS Document,
+       CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat(' ', text, '  ')
+            WHEN 3 THEN concat('";', text, chr(92)) ELSE concat(chr(13), chr(10), text, chr(9), '"') END AS Text,
+       CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN concat(';', source, chr(10)) END AS Source
+FROM documents
+"""
+
+
+@query("sink_texts_csv", AWKWARD_SQL)
+def sink_texts_csv(spark, sf_dir):
+    """Whole texts with quotes, separators, line breaks, outer blanks and backslashes, through an entity file."""
+    tables.given(spark, sf_dir, "documents")
+    path = scratch_path(spark, "texts")
+    rows = spark.sql(AWKWARD_SQL).select(F.col("Document").cast("long").alias("Id"), "Document", "Text", "Source")
+    sinks.write_entity(rows, path, rows_per_file=10_000)
+    return scans.scan_entity(spark, path, ["Document", "Text", "Source"])
+
+
+@query(
+    "scan_entity_folder",
+    f"""{WO}, t AS ({BLANKED_SQL}), programs AS ({PROGRAMS_SQL})
+SELECT 'Material' AS entity, Material || '|' || Description || '|' || Category AS cells
+FROM (SELECT DISTINCT Material, Description, Category FROM t)
+UNION ALL SELECT 'TaskOwner', TaskOwner FROM (SELECT DISTINCT TaskOwner FROM t)
+UNION ALL SELECT 'EngineProgram', Notification || '|' || Coding || '|' || Description FROM programs""",
+)
+def scan_entity_folder(spark, sf_dir):
+    """All entity files of a folder; a blank cell is a blank, not a missing one."""
+    path, out = scratch_path(spark, "entities"), None
+    wanted = {"Material": "sap_raw_extract", "TaskOwner": "sap_raw_extract", "EngineProgram": "pwc_engineprogram"}
+    for entity, sheet in wanted.items():
+        sinks.write_entity(ex.extract(entity, raw_sheet(spark, sf_dir, sheet)), f"{path}/{entity}")
+    columns = {e: list(ex.EXTRACTS[e].columns) for e in wanted}
+    for entity, rows in scans.scan_entity_folder(spark, path, columns).items():
+        # concat gives null for a missing cell, as || does
+        parts = [F.lit("|") if n % 2 else F.col(rows.columns[n // 2]) for n in range(2 * len(rows.columns) - 1)]
+        one = rows.select(F.lit(entity).alias("entity"), F.concat(*parts).alias("cells"))
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query(
     "sink_entity_csv",
     f"WITH sheet AS ({PROGRAMS_SQL}) SELECT CAST(row_number() OVER (ORDER BY Notification, Coding,"
@@ -428,6 +511,97 @@ def scan_json_records(spark, sf_dir):
     return scans.scan_records(spark, path, RECORD_COLUMNS)
 
 
+STRAY_SQL = f"""
+SELECT LayoutTaskId, CASE WHEN TaskId > 48 THEN 'n/a' ELSE CAST(TaskId AS STRING) END AS TaskId,
+       ItemNumber, NotificationCode, CASE WHEN ItemNumber = 6 THEN 'later' ELSE CreatedOn END AS CreatedOn,
+       TaskText, CAST(NotificationCode % 4 AS INT) AS kind
+FROM ({{tasks}})
+"""
+STRAY_COLUMNS = "LayoutTaskId string, TaskId bigint, NotificationCode bigint, CreatedOn date, TaskText string"
+
+
+@query(
+    "scan_json_rejects",
+    f"""WITH stray AS ({STRAY_SQL.format(tasks=tables.RECORDS['LayoutProcessingTask'])}),
+told AS (SELECT *, CASE WHEN kind = 3 AND ItemNumber = 1 THEN 'not JSON' WHEN TaskId = 'n/a' THEN 'cast TaskId'
+                        WHEN CreatedOn = 'later' THEN 'cast CreatedOn' END AS reject_reason FROM stray)
+SELECT CASE WHEN reject_reason IS NULL THEN LayoutTaskId END AS LayoutTaskId,
+       CASE WHEN reject_reason IS NULL THEN TRY_CAST(TaskId AS BIGINT) END AS TaskId,
+       CASE WHEN reject_reason IS NULL THEN NotificationCode END AS NotificationCode,
+       CASE WHEN reject_reason IS NULL THEN CreatedOn END AS CreatedOn,
+       CASE WHEN reject_reason IS NULL THEN TaskText END AS TaskText, reject_reason
+FROM told
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'no object' FROM stray WHERE kind = 2 AND ItemNumber = 2""",
+)
+def scan_json_rejects(spark, sf_dir):
+    """Service bodies as objects and arrays, some with stray values, stray items or cut short: every record once."""
+    tables.given(spark, sf_dir)
+    stray = spark.sql(STRAY_SQL.format(tasks=tables.on_lines(tables.RECORDS["LayoutProcessingTask"])))
+    text = F.to_json(F.struct(*[c for c in stray.columns if c != "kind"]))
+    number = F.col("ItemNumber")
+    body = (
+        F.when((F.col("kind") == 3) & (number == 1), F.expr("left(body, length(body) - 3)"))
+        .when((F.col("kind") == 2) & (number == 2), F.concat(F.lit("[7, "), "body", F.lit("]")))
+        .when(F.col("kind") == 1, F.concat(F.lit(" [ "), "body", F.lit(" ]")))
+        .otherwise(F.col("body"))
+    )
+    path = scratch_path(spark, "bodies")
+    stray.withColumn("body", text).select(body.alias("value")).write.text(path)
+    rows = scans.scan_records_marked(spark, path, STRAY_COLUMNS).drop("record")
+    return rows.withColumn("CreatedOn", F.col("CreatedOn").cast("string"))
+
+
+def _renamed_sources() -> str:
+    """All record sets with our column names, each row as one text of its cells by name."""
+    parts = []
+    for name, sql in tables.RECORDS.items():
+        renames = vocab.SOURCE_FIELDS[name]
+        columns = sorted(renames.get(c, c) for c in SOURCE_COLUMNS[name])
+        back = {renames.get(c, c): c for c in SOURCE_COLUMNS[name]}
+        cell = " || '|' || ".join(f"'{c}=' || coalesce(CAST({back[c]} AS VARCHAR), '<null>')" for c in columns)
+        parts.append(f"SELECT '{name}' AS source, {cell} AS cells FROM ({sql})")
+    return " UNION ALL ".join(parts)
+
+
+#: Columns of every record set as the services name them.
+SOURCE_COLUMNS = {
+    "GroupCode": ("CodeGroupId", "CodeGroupName", "CodeGroupText"),
+    "SupplierVendor": ("SupplierVendorId", "SupplierVendorCode"),
+    "DamageCode": ("DamageCodeId", "DamageCodeName", "DamageCodeText"),
+    "CauseCode": ("CauseCodeId", "CauseCode", "CauseText"),
+    "TaskOwner": ("TaskOwnerId", "TaskOwnerCode"),
+    "TaskStatus": ("TaskStatusId", "TaskStatusCode"),
+    "EngineProgram": ("EngineProgramId", "NotificationCode", "Description", "CodingCodeId"),
+    "CodingCode": ("CodingCodeId", "CodingCodeName", "CodingCodeText"),
+    "TaskCode": ("TaskCodeId", "TaskCodeName", "TaskCodeText", "GroupCodeId", "GroupCodeName"),
+    "LayoutProcessingTask": (
+        "LayoutTaskId", "TaskId", "ItemNumber", "NotificationCode", "MaterialCode", "CreatedOn", "CompletedOn",
+        "TaskText", "TaskCodeId", "PlannedStart", "PlannedFinish", "SupplierVendorId", "TaskOwnerId",
+        "TaskStatusId", "CategoryId", "DamageCodeId", "CauseCodeId", "CodeGroupId",
+    ),
+    "Material": ("MaterialCode", "Description", "CategoryId"),
+    "LayoutType": ("NotificationId", "ItemNumber", "LayoutText", "DamageCodeName", "CauseCodeName"),
+    "GeneralCode": ("CodeGroup", "TaskCode", "GeneralCode"),
+    "Category": ("CategoryId", "CategoryName"),
+}
+
+
+@query("load_all_sources", _renamed_sources())
+def load_all_sources(spark, sf_dir):
+    """Every record of all fourteen sets under our column names, by way of landed bodies."""
+    root, landed, out = scratch_path(spark, "landed"), {}, None
+    for name, rows in tables.records(spark, sf_dir).items():
+        rows.write.json(f"{root}/{name}")
+        landed[name] = scans.scan_records(spark, f"{root}/{name}", rows.schema)
+    for name, rows in scans.load_sources(landed).items():
+        parts = [
+            F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("<null>"))) for c in sorted(rows.columns)
+        ]
+        one = rows.select(F.lit(name).alias("source"), F.concat_ws("|", *parts).alias("cells"))
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query(
     "load_sources",
     f"""SELECT LayoutTaskId, TaskId AS Task, ItemNumber AS Item, NotificationCode AS Notification,
@@ -508,36 +682,41 @@ def entity_sources(spark, sf_dir) -> dict[str, DataFrame]:
     return found
 
 
-@query(
-    "load_all",
-    f"""{WO}, t AS ({BLANKED_SQL}), credit AS (SELECT CAST(s_suppkey AS VARCHAR) AS code FROM supplier
+LOADED_SQL = f"""{WO}, t AS ({BLANKED_SQL}), credit AS (SELECT CAST(s_suppkey AS VARCHAR) AS code FROM supplier
     WHERE s_acctbal > 0),
 items AS (SELECT Notification, Item, DamageCode, min(CauseCode) AS CauseCode FROM work_orders GROUP BY ALL),
 tasks AS (SELECT DISTINCT Notification, Item, Task, Material, Created_On, Completed_On, TaskText,
     GroupCode, TaskCode, Planned_Start, Planned_Finish, SupplierVendor, TaskOwner, TaskStatus FROM t),
-tasks_coded AS (SELECT tasks.* FROM tasks JOIN (SELECT DISTINCT TaskCode, TaskCodeText, GroupCode FROM t) c
-    ON c.TaskCode = tasks.TaskCode AND c.GroupCode = tasks.GroupCode)
-SELECT 'GroupCode' AS entity, count(*) AS stored, 0 AS rejects FROM (SELECT DISTINCT GroupCode, GroupText FROM t)
-UNION ALL SELECT 'CodingCode', count(*), 0 FROM region
-UNION ALL SELECT 'DamageCode', count(DISTINCT DamageCode), 0 FROM items
-UNION ALL SELECT 'CauseCode', count(DISTINCT coalesce(CauseCode, '')), 0 FROM items
-UNION ALL SELECT 'TaskOwner', count(DISTINCT TaskOwner), 0 FROM t
-UNION ALL SELECT 'TaskStatus', count(DISTINCT TaskStatus), 0 FROM t
-UNION ALL SELECT 'SupplierVendor', count(*), 0 FROM credit
-UNION ALL SELECT 'Category', count(DISTINCT p_type), 0 FROM part
-UNION ALL SELECT 'TaskCode', count(*), 0 FROM (SELECT DISTINCT TaskCode, TaskCodeText, GroupCode FROM t)
-UNION ALL SELECT 'Material', count(*), 0 FROM (SELECT DISTINCT Material, Description, Category FROM t)
-UNION ALL SELECT 'EngineProgram', count(*), 0 FROM customer
-UNION ALL SELECT 'LayoutType', count(*), 0 FROM items
-UNION ALL SELECT 'LayoutTask', count(*) FILTER (WHERE SupplierVendor IN (SELECT code FROM credit)),
-       count(*) FILTER (WHERE SupplierVendor NOT IN (SELECT code FROM credit)) FROM tasks_coded""",
-)
+fine AS (SELECT * FROM tasks WHERE SupplierVendor IN (SELECT code FROM credit)),
+loaded AS (
+SELECT 'GroupCode' AS entity, count(*) AS stored, 0 AS again, 0 AS unresolved FROM (SELECT DISTINCT GroupCode, GroupText FROM t)
+UNION ALL SELECT 'CodingCode', count(*), 0, 0 FROM region
+UNION ALL SELECT 'DamageCode', count(DISTINCT DamageCode), 0, 0 FROM items
+UNION ALL SELECT 'CauseCode', count(DISTINCT coalesce(CauseCode, '')), 0, 0 FROM items
+UNION ALL SELECT 'TaskOwner', count(DISTINCT TaskOwner), 0, 0 FROM t
+UNION ALL SELECT 'TaskStatus', count(DISTINCT TaskStatus), 0, 0 FROM t
+UNION ALL SELECT 'SupplierVendor', count(*), 0, 0 FROM credit
+UNION ALL SELECT 'Category', count(DISTINCT p_type), 0, 0 FROM part
+UNION ALL SELECT 'TaskCode', count(*), 0, 0 FROM (SELECT DISTINCT TaskCode, TaskCodeText, GroupCode FROM t)
+UNION ALL SELECT 'Material', count(*), 0, 0 FROM (SELECT DISTINCT Material, Description, Category FROM t)
+UNION ALL SELECT 'EngineProgram', count(*), 0, 0 FROM customer
+UNION ALL SELECT 'LayoutType', count(*), 0, 0 FROM items
+UNION ALL SELECT 'LayoutTask', (SELECT count(*) FROM (SELECT DISTINCT Notification, Item, Task FROM fine)),
+    (SELECT count(*) FROM fine) - (SELECT count(*) FROM (SELECT DISTINCT Notification, Item, Task FROM fine)),
+    (SELECT count(*) FROM tasks) - (SELECT count(*) FROM fine))"""
+
+
+@query("load_all", f"{LOADED_SQL} SELECT entity, stored, again + unresolved AS rejects FROM loaded")
 def load_all(spark, sf_dir):
     """Rows stored and rejected by entity when everything is loaded into empty tables."""
     store = Tables(spark, scratch_path(spark, "tables"))
     done = load.load_all(entity_sources(spark, sf_dir), store)
     counts = [
-        d.rejects.agg(F.lit(d.entity).alias("entity"), F.lit(d.rows).alias("stored"), F.count("*").alias("rejects"))
+        d.rejects.agg(
+            F.lit(d.entity).alias("entity"),
+            F.lit(d.rows).cast("long").alias("stored"),
+            F.coalesce(F.sum("copies"), F.lit(0).cast("long")).alias("rejects"),
+        )
         for d in done
     ]
     out = counts[0]
@@ -546,6 +725,48 @@ def load_all(spark, sf_dir):
     return out
 
 
+@query(
+    "load_twice",
+    f"""{LOADED_SQL} SELECT entity, stored + again + unresolved AS source, stored, 0::BIGINT AS known,
+    again + unresolved AS rejected, 0::BIGINT AS stored_again, stored + again AS known_again,
+    unresolved AS rejected_again, stored AS in_table FROM loaded""",
+)
+def load_twice(spark, sf_dir):
+    """The same sources loaded two times: what each load did with their rows, and what the tables hold then."""
+    store = Tables(spark, scratch_path(spark, "tables"))
+    sources = {e: store_and_reload(rows, "source") for e, rows in entity_sources(spark, sf_dir).items()}
+    first = {d.entity: d for d in load.load_all(sources, store)}
+    second = {d.entity: d for d in load.load_all(sources, store)}
+    rows = [
+        (
+            e, sources[e].count(), d.rows, d.known, d.rejected, second[e].rows, second[e].known, second[e].rejected,
+            store.read(ENTITIES[e].table).count(),
+        )
+        for e, d in first.items()
+    ]
+    names = "source stored known rejected stored_again known_again rejected_again in_table".split()
+    return spark.createDataFrame(rows, "entity string, " + ", ".join(f"{n} long" for n in names))
+
+
+CODES_SQL = """
+SELECT DISTINCT TaskCode, GroupCode, TaskCodeText, ascii(GroupCode) * 1000000 + length(TaskCodeText) AS Id
+FROM work_orders
+"""
+
+
+@query(
+    "taskcode_choices",
+    f"""{WO}, codes AS ({CODES_SQL}), least AS (SELECT TaskCode, GroupCode, min(Id) AS chosen FROM codes
+    GROUP BY TaskCode, GroupCode HAVING count(*) > 1)
+SELECT codes.*, chosen FROM codes JOIN least USING (TaskCode, GroupCode)""",
+)
+def taskcode_choices(spark, sf_dir):
+    """Task codes with several texts in a group, and the id that tasks with such a code get."""
+    tables.work_orders(spark, sf_dir)
+    look = next(x for x in ENTITIES["LayoutTask"].lookups if x.entity == "TaskCode")
+    return choices(look, spark.sql(CODES_SQL))
+
+
 # --- names and cells ------------------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from taskspark.operators.cleaning import CleaningRules
 from taskspark.plans.models import ModelRules
 from taskspark.session import store_and_reload
 
-GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 # Names used by every query below; the words occur in the given tables.
 RULES = CleaningRules(
@@ -212,6 +212,18 @@ FROM lineitem l
 JOIN orders o   ON o.o_orderkey = l.l_orderkey
 JOIN part p     ON p.p_partkey  = l.l_partkey
 JOIN customer c ON c.c_custkey  = o.o_custkey
+""",
+    "Material": """
+SELECT CAST(p_partkey AS STRING) AS MaterialCode, p_name AS Description,
+       CAST(ascii(p_type) * 100 + length(p_type) AS BIGINT) AS CategoryId FROM part
+""",
+    "LayoutType": """
+SELECT DISTINCT o.o_custkey AS NotificationId, CAST(l.l_linenumber AS BIGINT) AS ItemNumber,
+       p.p_type AS LayoutText, CAST(l.l_linenumber * 10 AS STRING) AS DamageCodeName,
+       concat('L0', CAST(CAST(round(l.l_tax * 100) AS INT) % 5 AS STRING)) AS CauseCodeName
+FROM lineitem l
+JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN part p   ON p.p_partkey  = l.l_partkey
 """,
     "GeneralCode": """
 SELECT DISTINCT lower(l.l_returnflag) AS CodeGroup, lower(p.p_type) AS TaskCode,
