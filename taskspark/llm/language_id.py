@@ -48,6 +48,8 @@ def grams(text: str | None, longest: int = LONGEST_GRAM) -> np.ndarray:
     needs to be read once.
     """
     words = set(LETTERS.findall(text.lower())) if text else set()
+    odd = [w for w in words if not w.isalpha()]  # signs such as a half are no letters
+    words = words.difference(odd).union(*(("".join(c if c.isalpha() else " " for c in w)).split() for w in odd))
     if not words:
         return np.zeros(0, np.int32)
     signs = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -133,29 +135,30 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     Columns lang_pred and score that ``docs`` may have are replaced; other columns and repeated rows stay.
     """
     docs = docs.drop("lang_pred", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast of our own class would ask every worker for an installed copy.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.grams[:-1], model.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        place = np.full(1 << GRAM_BITS, -1, np.int32)
-        place[known.grams[:-1]] = np.arange(len(known.grams) - 1)
+        languages, vocabulary, weights = shared.value
         for batch in slices(batches, "text", 1 << 18):
             sets = [grams(t) for t in batch.column("text").to_pylist()]
             sizes = np.array([len(g) for g in sets])
-            flat = place[np.concatenate([np.zeros(0, np.int32), *sets])]
-            rows = np.repeat(np.arange(len(sets)), sizes)[flat >= 0]
-            flat = flat[flat >= 0]
+            values = np.concatenate([np.zeros(0, np.int32), *sets])
+            rows = np.repeat(np.arange(len(sets)), sizes)
             names, scores = [], []
-            if known.languages:
-                product = np.zeros((len(sets), len(known.languages)))
-                for c in range(len(known.languages)):
-                    product[:, c] = np.bincount(rows, known.weights[:-1, c][flat], minlength=len(sets))
-                product = product / np.sqrt(np.maximum(sizes, 1))[:, None] + known.weights[-1]
+            if languages:
+                flat = np.minimum(np.searchsorted(vocabulary, values), len(vocabulary) - 1)
+                there = vocabulary[flat] == values
+                rows, flat = rows[there], flat[there]
+                product = np.zeros((len(sets), len(languages)))
+                for c in range(len(languages)):
+                    product[:, c] = np.bincount(rows, weights[:-1, c][flat], minlength=len(sets))
+                product = product / np.sqrt(np.maximum(sizes, 1))[:, None] + weights[-1]
                 best = product.argmax(axis=1)
                 top = np.clip((product.max(axis=1) + 1) / 2, 0, 1)
             for k, size in enumerate(sizes):
-                sure = bool(size) and bool(known.languages)
-                names.append(known.languages[best[k]] if sure else UNDETERMINED)
+                sure = bool(size) and bool(languages)
+                names.append(languages[best[k]] if sure else UNDETERMINED)
                 scores.append(float(top[k]) if sure else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
