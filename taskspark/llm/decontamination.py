@@ -128,16 +128,18 @@ def seed_counts(docs: DataFrame, seeds: np.ndarray) -> tuple[np.ndarray, int]:
     return counts, int(n[at < 0].sum())
 
 
-def rare(part: Block, counts: np.ndarray, documents: int) -> np.ndarray:
+def rare(
+    part: Block, counts: np.ndarray, documents: int, share: float = RARE_SHARE, least: int = SEEDS_AT_LEAST
+) -> np.ndarray:
     """Which of the block's seeds (in its order) are to be looked for.
 
-    Of every item the seeds in at most a share of the documents, and in any case its rarest ones, so an item
-    that many documents have copied is still found.
+    Of every item the seeds in at most ``share`` of the documents, and in any case its ``least`` rarest ones, so
+    an item that many documents have copied is still found. A share of 1 keeps all seeds.
     """
-    keep = counts <= RARE_SHARE * documents
+    keep = counts <= share * documents
     order = np.lexsort((counts, part.items))
     first = np.searchsorted(part.items[order], part.items[order])
-    keep[order[np.arange(len(order)) - first < SEEDS_AT_LEAST]] = True
+    keep[order[np.arange(len(order)) - first < least]] = True
     return keep
 
 
@@ -184,13 +186,22 @@ def _passages(at: np.ndarray, place: np.ndarray, words: int) -> list[tuple[int,
     return [(a, b) for a, b in out]
 
 
-def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    threshold: float = THRESHOLD,
+    rare_share: float = RARE_SHARE,
+    seeds_at_least: int = SEEDS_AT_LEAST,
+    aligned_words: int = ALIGNED_WORDS,
+) -> DataFrame:
     """(doc_id, item_id, score, matched_words, start, end): the best passage of every document for every item
     it has a copy of, edited or not. ``score`` is the share of the item's best possible alignment score;
     start and end are code points of the text.
 
-    Null and empty texts have no passages; an item of fewer than ALIGNED_WORDS words is too short to be told
-    from common speech and is in no document; repeated rows stay repeated; empty tables give no rows.
+    Seeds of an item that more than ``rare_share`` of the documents have are looked for only if they are among
+    its ``seeds_at_least`` rarest; a copy that shares none of the chosen seeds is not found. With 1.0 all are
+    looked for. Null and empty texts have no passages; an item of fewer than ``aligned_words`` words is too short
+    to be told from common speech and is in no document; repeated rows stay repeated; empty tables give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, item_id long, score double, matched_words long, start long, end long"
@@ -200,19 +211,20 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
             continue
         distinct, index = np.unique(part.seeds, return_inverse=True)
         counts, documents = seed_counts(docs, distinct)
-        keep = rare(part, counts[index], documents)
-        chosen = Block(part.ids, part.words, part.seeds[keep], part.items[keep], part.places[keep])
-        found = found.union(docs.mapInArrow(_finder(docs.sparkSession, chosen, threshold), schema))
+        keep = rare(part, counts[index], documents, rare_share, seeds_at_least)
+        chosen = (part.ids, part.words, part.seeds[keep], part.items[keep], part.places[keep])
+        found = found.union(docs.mapInArrow(_finder(docs.sparkSession, chosen, threshold, aligned_words), schema))
     return found
 
 
-def _finder(spark, chosen: Block, threshold: float):
+def _finder(spark, chosen: tuple, threshold: float, aligned_words: int):
+    # Plain arrays: a broadcast of our own class would ask every worker for an installed copy.
     shared = spark.sparkContext.broadcast(chosen)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, hasher = shared.value, WordHasher()
-        table, first = np.unique(part.seeds, return_index=True)
-        last = np.append(first[1:], len(part.seeds))
+        hasher, (ids, spelt, seeds, items, places) = WordHasher(), shared.value
+        table, first = np.unique(seeds, return_index=True)
+        last = np.append(first[1:], len(seeds))
         look = _Filter(table)
         for batch in slices(batches, "text"):
             words, bounds, starts, ends, (data, offsets) = read_words(batch.column("text"), hasher)
@@ -223,25 +235,25 @@ def _finder(spark, chosen: Block, threshold: float):
             sizes = last[seed] - first[seed]
             entry = np.repeat(first[seed] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             at = np.repeat(at, sizes)
-            item, place, row = part.items[entry], part.places[entry], rows[at]
+            item, place, row = items[entry], places[entry], rows[at]
             order = np.lexsort((at, item, row))
             cuts = np.flatnonzero(np.diff(row[order]) | np.diff(item[order])) + 1
             out: list[list] = [[] for _ in range(6)]
             for group in np.split(order, cuts) if len(order) else []:
                 doc, which = int(row[group[0]]), int(item[group[0]])
                 low, high = bounds[doc], bounds[doc + 1]
-                own, best = part.words[which], (0, 0, 0, 0)
+                own, best = spelt[which], (0, 0, 0, 0)
                 for a, b in _passages(at[group], place[group], len(own)):
                     a = max(a, int(low))
                     score, same, begin, end = align(own, words[a : min(b, int(high))])
                     if score > best[0]:
                         best = (score, same, a + begin, a + end - 1)
                 share = best[0] / (MATCH * len(own))
-                if share >= threshold and best[1] >= ALIGNED_WORDS:
+                if share >= threshold and best[1] >= aligned_words:
                     text = data[offsets[doc] : offsets[doc + 1]]
                     letters = np.cumsum((text & 0xC0) != 0x80)
                     begin, end = starts[best[2]] - offsets[doc], ends[best[3]] - offsets[doc]
-                    values = (batch.column("doc_id")[doc].as_py(), part.ids[which], share, best[1],
+                    values = (batch.column("doc_id")[doc].as_py(), ids[which], share, best[1],
                               int(letters[begin]) - 1, int(letters[end - 1]))
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
