@@ -51,7 +51,8 @@ SECOND_PERSON = frozenset(
 #: Signs that stand for letters.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 WORDS = re.compile(r"[^\W\d_]+")
-DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!*.\-_]+[^\W\d_]+)+")
+#: Begins with a run of letters and never gives any back, so long runs are read once.
+DISGUISED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$!*.\-_]++[^\W\d_]++)+")
 SYMBOLS = re.compile(r"[#*$%&|<>@]")
 CAPS_WORD = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{3,}\b")
 CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]")
