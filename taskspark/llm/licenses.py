@@ -8,6 +8,7 @@ same priority, is suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,14 +25,14 @@ WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
 #: Without one of these no rule can match, whatever its keyword.
-HINTS = ("licen", "spdx", "under")
-#: label | keywords (one is enough) | public identifier | how the name is written
+HINTS = ("licen", "spdx", "under", "rights", "domain")
+#: label | keywords (every match holds one; without blanks, as a name may go over a line break) | public identifier | how the name is written
 LICENSES = r"""
 mit | mit | mit | (?:the )?mit
 mit-0 | mit | mit-0 | mit[- ]0|mit no attribution
 x11 | x11 | x11 | x11|mit/x11
 apache-1 | apache | apache-1\.[01] | apache(?: software)?(?: licen[cs]e)?,? (?:version |v)?1(?:\.[01])?
-apache-2 | apache | apache-2\.0 | apache(?: software)?(?: licen[cs]e)?,? (?:version |v\.? ?)?2(?:\.0)?|al2|asl 2(?:\.0)?
+apache-2 | apache/al2/asl | apache-2\.0 | apache(?: software)?(?: licen[cs]e)?,? (?:version |v\.? ?)?2(?:\.0)?|al2|asl 2(?:\.0)?
 bsd-0 | bsd | 0bsd | (?:zero[- ]clause|0[- ]clause) bsd|0bsd
 bsd-2 | bsd | bsd-2-clause | (?:2|two)[- ]clause bsd|(?:simplified|freebsd) bsd|bsd[- ](?:2|two)[- ]clause
 bsd-3 | bsd | bsd-3-clause | (?:3|three)[- ]clause bsd|(?:new|modified|revised) bsd|bsd[- ](?:3|three)[- ]clause
@@ -47,52 +48,52 @@ lgpl-3 | gnu/gpl | lgpl-3\.0(?:-only|-or-later)?\+? | gnu lesser general public
 lgpl | gnu/gpl | lgpl | gnu lesser general public licen[cs]e|gnu lgpl|lgpl
 agpl-3 | gnu/gpl | agpl-3\.0(?:-only|-or-later)?\+? | gnu affero general public licen[cs]e,? (?:version |v)3(?:\.0)?|agpl(?:[- ]?v?3)(?:\.0)?
 agpl | gnu/gpl | agpl | gnu affero general public licen[cs]e|affero gpl|agpl
-gfdl | free doc | gfdl-1\.[123](?:-only|-or-later)? | gnu free documentation licen[cs]e(?:,? (?:version |v)1\.[123])?|gfdl
-mpl-1 | mozilla | mpl-1\.[01] | mozilla public licen[cs]e,? (?:version |v)?1\.[01]
+gfdl | gfdl/documentation | gfdl-1\.[123](?:-only|-or-later)? | gnu free documentation licen[cs]e(?:,? (?:version |v)1\.[123])?|gfdl
+mpl-1 | mozilla/mpl | mpl-1\.[01] | mozilla public licen[cs]e,? (?:version |v)?1\.[01]
 mpl-2 | mozilla/mpl | mpl-2\.0 | mozilla public licen[cs]e,? (?:version |v)?2(?:\.0)?|mpl[- ]?(?:v ?)?2(?:\.0)?
-mpl | mozilla | mpl | mozilla public licen[cs]e
+mpl | mozilla/mpl | mpl | mozilla public licen[cs]e
 epl-1 | eclipse/epl | epl-1\.0 | eclipse public licen[cs]e,?(?: -)? (?:version |v)?1(?:\.0)?|epl[- ]?1(?:\.0)?
 epl-2 | eclipse/epl | epl-2\.0 | eclipse public licen[cs]e,?(?: -)? (?:version |v)?2(?:\.0)?|epl[- ]?2(?:\.0)?
-edl | eclipse dist | edl-1\.0 | eclipse distribution licen[cs]e(?: v?1\.0)?
-cddl-1 | common dev/cddl | cddl-1\.[01] | common development and distribution licen[cs]e(?:,? (?:version |v)?1\.[01])?|cddl(?:[- ]1\.[01])?
-cpl | common public | cpl-1\.0 | common public licen[cs]e(?:,? (?:version |v)?1\.0)?
-cpal | common public att | cpal-1\.0 | common public attribution licen[cs]e(?:,? (?:version |v)?1\.0)?
+edl | edl/eclipse | edl-1\.0 | eclipse distribution licen[cs]e(?: v?1\.0)?
+cddl-1 | cddl/development | cddl-1\.[01] | common development and distribution licen[cs]e(?:,? (?:version |v)?1\.[01])?|cddl(?:[- ]1\.[01])?
+cpl | cpl/common | cpl-1\.0 | common public licen[cs]e(?:,? (?:version |v)?1\.0)?
+cpal | cpal/common | cpal-1\.0 | common public attribution licen[cs]e(?:,? (?:version |v)?1\.0)?
 eupl-1.1 | european/eupl | eupl-1\.1 | european union public licen[cs]e,? (?:version |v)?\.? ?1\.1|eupl[- ]?v?1\.1
 eupl-1.2 | european/eupl | eupl-1\.2 | european union public licen[cs]e,? (?:version |v)?\.? ?1\.2|eupl[- ]?v?1\.2
-cc0 | cc/creative c | cc0-1\.0 | cc0(?: 1\.0)?(?: universal)?|creative commons zero
-cc-by-nc-nd | cc/creative c | cc-by-nc-nd-[1-4]\.[05] | cc[- ]by[- ]nc[- ]nd(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non-?commercial[- ]no ?derivat(?:ive)?s?(?:works)?(?: [1-4]\.[05])?
-cc-by-nc-sa | cc/creative c | cc-by-nc-sa-[1-4]\.[05] | cc[- ]by[- ]nc[- ]sa(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non-?commercial[- ]share ?alike(?: [1-4]\.[05])?
-cc-by-nc | cc/creative c | cc-by-nc-[1-4]\.[05] | cc[- ]by[- ]nc(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non-?commercial(?: [1-4]\.[05])?
-cc-by-nd | cc/creative c | cc-by-nd-[1-4]\.[05] | cc[- ]by[- ]nd(?:[- ][1-4]\.[05])?|creative commons attribution[- ]no ?deriv(?:ative)?s?(?: [1-4]\.[05])?
-cc-by-sa | cc/creative c | cc-by-sa-[1-4]\.[05] | cc[- ]by[- ]sa(?:[- ][1-4]\.[05])?|creative commons attribution[- ]share ?alike(?: [1-4]\.[05])?
-cc-by | cc/creative c | cc-by-[1-4]\.[05] | cc[- ]by(?:[- ][1-4]\.[05])?|creative commons attribution(?: [1-4]\.[05])?
-public-domain | public domain | cc-pddc | public domain(?: dedication)?
+cc0 | cc/creative | cc0-1\.0 | cc0(?: 1\.0)?(?: universal)?|creative commons zero
+cc-by-nc-nd | cc/creative | cc-by-nc-nd-[1-4]\.[05] | cc[- ]by[- ]nc[- ]nd(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non-?commercial[- ]no ?derivat(?:ive)?s?(?:works)?(?: [1-4]\.[05])?
+cc-by-nc-sa | cc/creative | cc-by-nc-sa-[1-4]\.[05] | cc[- ]by[- ]nc[- ]sa(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non-?commercial[- ]share ?alike(?: [1-4]\.[05])?
+cc-by-nc | cc/creative | cc-by-nc-[1-4]\.[05] | cc[- ]by[- ]nc(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non-?commercial(?: [1-4]\.[05])?
+cc-by-nd | cc/creative | cc-by-nd-[1-4]\.[05] | cc[- ]by[- ]nd(?:[- ][1-4]\.[05])?|creative commons attribution[- ]no ?deriv(?:ative)?s?(?: [1-4]\.[05])?
+cc-by-sa | cc/creative | cc-by-sa-[1-4]\.[05] | cc[- ]by[- ]sa(?:[- ][1-4]\.[05])?|creative commons attribution[- ]share ?alike(?: [1-4]\.[05])?
+cc-by | cc/creative | cc-by-[1-4]\.[05] | cc[- ]by(?:[- ][1-4]\.[05])?|creative commons attribution(?: [1-4]\.[05])?
+public-domain | public/cc-pddc | cc-pddc | public domain(?: dedication)?
 unlicense | unlicen | unlicense | unlicense
-wtfpl | wtfpl | wtfpl | wtfpl|do what the fuck you want to public licen[cs]e
+wtfpl | wtfpl/fuck | wtfpl | wtfpl|do what the fuck you want to public licen[cs]e
 isc | isc | isc | isc
 zlib | zlib | zlib | zlib(?:/libpng)?
 libpng | libpng | libpng(?:-2\.0)? | libpng
-boost | boost | bsl-1\.0 | boost software licen[cs]e(?:,?(?: -)? version 1\.0)?|boost
-busl | business | busl-1\.1 | business source licen[cs]e(?:,? (?:version |v)?1\.1)?
-sspl | server side/sspl | sspl-1\.0 | server side public licen[cs]e(?:,? (?:version |v)?1)?|sspl
+boost | boost/bsl | bsl-1\.0 | boost software licen[cs]e(?:,?(?: -)? version 1\.0)?|boost
+busl | business/busl | busl-1\.1 | business source licen[cs]e(?:,? (?:version |v)?1\.1)?
+sspl | server/sspl | sspl-1\.0 | server side public licen[cs]e(?:,? (?:version |v)?1)?|sspl
 elastic | elastic | elastic-2\.0 | elastic licen[cs]e(?:,? (?:version |v)?2(?:\.0)?)?
 artistic-1 | artistic | artistic-1\.0(?:-perl)? | artistic licen[cs]e(?:,? (?:version |v)?1(?:\.0)?)
 artistic-2 | artistic | artistic-2\.0 | artistic licen[cs]e(?:,? (?:version |v)?2(?:\.0)?)
 artistic | artistic | clartistic | artistic
 perl | perl | perl | same terms as perl(?: itself)?
-python | python | (?:python-2\.0|psf-2\.0) | python software foundation|psf
+python | python/psf | (?:python-2\.0|psf-2\.0) | python software foundation|psf
 ruby | ruby | ruby | ruby
 php | php | php-3\.0?1? | php(?: licen[cs]e,? (?:version |v)?3\.01)?
 openssl | openssl | openssl | openssl
-ofl | open font | ofl-1\.[01] | (?:sil )?open font licen[cs]e(?:,? (?:version |v)?1\.[01])?
-odbl | open d | odbl-1\.0 | open (?:data commons )?database licen[cs]e|odbl
-odc-by | open data | odc-by-1\.0 | open data commons attribution licen[cs]e
-pddl | open data | pddl-1\.0 | open data commons public domain dedication
-afl | academic | afl-[123]\.[01] | academic free licen[cs]e(?:,? (?:version |v)?[123]\.[01])?
-osl | open software | osl-[123]\.[01] | open software licen[cs]e(?:,? (?:version |v)?[123]\.[01])?
-ms-pl | microsoft pub | ms-pl | microsoft public licen[cs]e
-ms-rl | microsoft rec | ms-rl | microsoft reciprocal licen[cs]e
-upl | universal per | upl-1\.0 | universal permissive licen[cs]e(?:,? (?:version |v)?1\.0)?
+ofl | open/ofl | ofl-1\.[01] | (?:sil )?open font licen[cs]e(?:,? (?:version |v)?1\.[01])?
+odbl | open/odbl | odbl-1\.0 | open (?:data commons )?database licen[cs]e|odbl
+odc-by | open/odc | odc-by-1\.0 | open data commons attribution licen[cs]e
+pddl | open/pddl | pddl-1\.0 | open data commons public domain dedication
+afl | academic/afl | afl-[123]\.[01] | academic free licen[cs]e(?:,? (?:version |v)?[123]\.[01])?
+osl | open/osl | osl-[123]\.[01] | open software licen[cs]e(?:,? (?:version |v)?[123]\.[01])?
+ms-pl | microsoft/ms-pl | ms-pl | microsoft public licen[cs]e
+ms-rl | microsoft/ms-rl | ms-rl | microsoft reciprocal licen[cs]e
+upl | universal/upl | upl-1\.0 | universal permissive licen[cs]e(?:,? (?:version |v)?1\.0)?
 ncsa | ncsa | ncsa | (?:university of illinois/)?ncsa(?: open source)?
 postgresql | postgresql | postgresql | postgresql
 vim | vim | vim | vim
@@ -104,7 +105,7 @@ mulan | mulan | mulanpsl-[12]\.0 | mulan (?:permissive software|psl)(?: licen[cs
 openrail | rail | openrail(?:-m|\+\+)? | (?:creativeml |bigscience )?(?:open)?rail(?:[- ]m|\+\+)?
 llama | llama | llama-?[234](?:\.[0-9])? | llama ?[234](?:\.[0-9])?(?: community)?
 gemma | gemma | gemma | gemma
-proprietary | all rights | licenseref-proprietary | all rights reserved
+proprietary | rights/proprietary | licenseref-proprietary | all rights reserved
 """  # noqa: E501
 
 #: How a notice frames a name: pattern around it, priority, score. Every license has a rule per frame.
@@ -120,6 +121,13 @@ FRAMES = (
 )
 
 
+#: Notices that stand alone: label, keyword, pattern, priority, score.
+ALONE = (
+    ("proprietary", "rights", r"\ball\s+rights\s+reserved\b", 30, 0.5),
+    ("public-domain", "domain", r"\b(?:in|into|to)\s+the\s+public\s+domain\b", 30, 0.7),
+)
+
+
 @dataclass(frozen=True)
 class Signature:
     label: str
@@ -130,12 +138,13 @@ class Signature:
 
 
 def signatures() -> list[Signature]:
-    """One rule per license and frame, most important first."""
-    rules = []
+    """One rule per license and frame and for each notice that stands alone, most important first."""
+    rules = [Signature(label, word, re.compile(pattern), *rest) for label, word, pattern, *rest in ALONE]
     for line in LICENSES.strip().splitlines():
         label, keyword, identifier, name = line.split(" | ", 3)
         for frame, priority, score in FRAMES:
-            pattern = frame.replace("{id}", identifier).replace("{name}", name.replace(" ", r"\s+"))
+            spelt = name.replace("[- ]", r"[-\s]").replace(" ?", r"\s*").replace(" ", r"\s+")
+            pattern = frame.replace("{id}", identifier).replace("{name}", spelt)
             rules.append(Signature(label, keyword, re.compile(pattern), priority, score))
     return sorted(rules, key=lambda r: -r.priority)
 
@@ -152,12 +161,29 @@ def detections(text: str, rules: list[Signature]) -> list[tuple[int, int, Signat
         if opened[rule.keyword]:
             found += [(*m.span(), rule) for m in rule.pattern.finditer(text)]
     found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
-    kept: list[tuple[int, int, Signature]] = []
-    for start, end, rule in found:
-        if not any(a <= start and end <= b and (p.label != rule.label or (a, b) != (start, end) or p.priority > rule.priority)
-                   for a, b, p in kept):
-            kept.append((start, end, rule))
-    return sorted(kept, key=lambda d: d[:2])
+    return sorted(outermost(found), key=lambda d: d[:2])
+
+
+def outermost(found: list[tuple[int, int, Signature]]) -> Iterator[tuple[int, int, Signature]]:
+    """Those of ``found`` (start, end, ..) that no earlier one contains.
+
+    The furthest end among the starts up to a place is kept in a tree of prefix maxima, so each of n detections
+    costs log n steps.
+    """
+    starts = sorted({d[0] for d in found})
+    ends = [-1] * (len(starts) + 1)
+    for one in found:
+        place = bisect_right(starts, one[0])
+        at, furthest = place, -1
+        while at:
+            furthest = max(furthest, ends[at])
+            at &= at - 1
+        if furthest >= one[1]:
+            continue
+        yield one
+        while place <= len(starts):
+            ends[place] = max(ends[place], one[1])
+            place += place & -place
 
 
 def scan(docs: DataFrame) -> DataFrame:

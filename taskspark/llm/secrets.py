@@ -12,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from taskspark.llm.arrays import slices
 
+#: Longer values are no placeholders.
+LONGEST_PLACEHOLDER = 400
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
@@ -38,11 +41,13 @@ PLACEHOLDERS = re.compile(
     r"^(?:x+|\*+|\.+|change_?me|example|sample|test|dummy|none|null|nil|true|false|todo|your[\w-]*|<.*>|\$\{?.*\}?|%.*%)$",
     re.IGNORECASE,
 )
-NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*"
+#: Begins where no name goes on and never gives letters back, so a line is read once however long its names are.
+NAME = r"(?<![A-Za-z0-9_.\-])[0-9.\-]*+(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)"
 PAIR = re.compile(
-    rf"(?P<name>{NAME})(?:\[[\"'](?P<item>[^\"'\]]+)[\"']\])?[\"']?[ \t]*(?::=|=>|=(?!=)|:(?!/))[ \t]*"
+    rf"{NAME}(?:\[[\"'](?P<item>[^\"'\]]+)[\"']\])?[\"']?[ \t]*(?::=|=>|=(?!=)|:(?!/))[ \t]*"
 )
-TERM = re.compile(rf"\"(?P<double>(?:[^\"\\\n]|\\.)*)\"|'(?P<single>(?:[^'\\\n]|\\.)*)'|(?P<bare>[^\s\"',;(){{}}\[\]+]+)")
+#: A bare value ends before a sign that binds the next one, as in a=b=c.
+TERM = re.compile(rf"\"(?P<double>(?:[^\"\\\n]|\\.)*)\"|'(?P<single>(?:[^'\\\n]|\\.)*)'|(?P<bare>(?:[^\s\"',;(){{}}\[\]+=]|=(?![A-Za-z0-9_]))++)")
 PLUS = re.compile(r"[ \t]*\+[ \t]*")
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
@@ -54,45 +59,86 @@ def sensitivity(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in joined), default=0.0)
 
 
-def strangeness(literal: str) -> float:
+@dataclass
+class Value:
+    """What a name is bound to, as far as its looks go: a literal, or several joined."""
+
+    letters: Counter
+    length: int
+    text: str | None  # None beyond LONGEST_PLACEHOLDER
+
+    @classmethod
+    def of(cls, text: str) -> Value:
+        return cls(Counter(text), len(text), text if len(text) <= LONGEST_PLACEHOLDER else None)
+
+    @classmethod
+    def joined(cls, parts: list[Value]) -> Value:
+        if len(parts) == 1:
+            return parts[0]
+        length = sum(p.length for p in parts)
+        known = length <= LONGEST_PLACEHOLDER and all(p.text is not None for p in parts)
+        letters = sum((p.letters for p in parts), Counter())
+        return cls(letters, length, "".join(p.text for p in parts) if known else None)
+
+
+def strangeness(value: Value) -> float:
     """How much a literal looks like a secret, 0 to 1: its entropy and kinds of characters, nothing for words."""
-    if len(literal) < 6 or PLACEHOLDERS.match(literal) or " " in literal:
+    if value.length < 6 or " " in value.letters or (value.text is not None and PLACEHOLDERS.match(value.text)):
         return 0.0
-    counts = Counter(literal)
-    entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in counts.values())
-    kinds = sum(map(bool, (re.search(p, literal) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))))
+    shares = [n / value.length for n in value.letters.values()]
+    entropy = -sum(p * math.log2(p) for p in shares)
+    signs = "".join(value.letters)
+    kinds = sum(map(bool, (re.search(p, signs) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))))
     return min(1.0, entropy / 4.0) * (0.5 if kinds == 1 else 1.0)
 
 
-def bindings(text: str) -> Iterator[tuple[str, int, int, str]]:
-    """(name, start, end, literal) of every literal that a name is bound to, directly or through constants."""
-    constants: dict[str, list[tuple[int, int, str]]] = {}
+def literals(text: str) -> dict[tuple[int, int], float]:
+    """The score of every literal (start, end) that a name is bound to, directly or through constants.
+
+    Bindings form a graph: each has the literals and the earlier bindings that it is made of. Scores go from every
+    binding down to its parts, last binding first, so each part is visited once whatever the number of names and
+    however often a constant is used.
+    """
+    bound: dict[str, int] = {}
+    values: list[Value] = []
+    own: list[float] = []
+    parts: list[list[int | tuple[int, int]]] = []
     at = 0
     while (mark := min((p for p in (text.find("=", at), text.find(":", at)) if p >= 0), default=-1)) >= 0:
         begin = text.rfind("\n", 0, mark) + 1
         end = text.find("\n", mark)
         end = len(text) if end < 0 else end
         for pair in PAIR.finditer(text, begin, end):
-            found, place = [], pair.end()
+            made, looks, place = [], [], pair.end()
             while term := TERM.match(text, place, end):
                 kind = term.lastgroup
                 value = term[kind]
-                if kind == "bare" and value in constants:
-                    found += constants[value]
+                if kind == "bare" and value in bound:
+                    made.append(bound[value])
+                    looks.append(values[bound[value]])
                 elif value:
-                    found.append((term.start(kind), term.end(kind), value))
+                    made.append(term.span(kind))
+                    looks.append(Value.of(value))
                 more = PLUS.match(text, term.end(), end)
                 if not more:
                     break
                 place = more.end()
             names = [pair["name"], pair["item"]] if pair["item"] else [pair["name"]]
-            if len(constants) < 10_000 or names[-1] in constants:
-                constants[names[-1]] = found[:64]
-            whole = "".join(value for *_, value in found)
-            for start, stop, _ in found:
-                for name in names:
-                    yield name, start, stop, whole
+            whole = Value.joined(looks) if looks else Value.of("")
+            weight = max(map(sensitivity, names))
+            bound[names[-1]] = len(own)
+            values.append(whole)
+            own.append(weight * strangeness(whole) if weight else 0.0)
+            parts.append(made)
         at = end + 1
+    scores: dict[tuple[int, int], float] = {}
+    for k in range(len(own) - 1, -1, -1):
+        for part in parts[k]:
+            if isinstance(part, int):
+                own[part] = max(own[part], own[k])
+            elif own[k]:
+                scores[part] = max(scores.get(part, 0.0), own[k])
+    return scores
 
 
 def spans(text: str) -> list[tuple[str, int, int]]:
@@ -105,11 +151,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         found += [("access", *m.span()) for m in ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     if any(part in lower for part in SENSITIVE):
-        scores: dict[tuple[int, int], float] = {}
-        for name, start, end, literal in bindings(text):
-            if weight := sensitivity(name):
-                scores[start, end] = max(scores.get((start, end), 0.0), weight * strangeness(literal))
-        found += [("literal", *place) for place, score in scores.items() if score >= THRESHOLD]
+        found += [("literal", *place) for place, score in literals(text).items() if score >= THRESHOLD]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
