@@ -32,7 +32,10 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``size`` bytes of text, so that working arrays stay small."""
+    """The same rows in batches of about ``size`` bytes of text, so that working arrays stay small.
+
+    Behind the last one, memory that the worker has freed goes back to the system.
+    """
     for batch in batches:
         _, offsets = flat(batch.column(column))
         start = 0
@@ -40,6 +43,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1)
             yield batch.slice(start, end - start)
             start = end
+        del batch, offsets
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker outlives its task, and so would what it has held."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

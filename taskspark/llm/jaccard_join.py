@@ -4,13 +4,18 @@
 2. A global order of shingles: those that many documents share come last. Which are frequent is read from
    counts of hash slots over all documents (a table of fixed size). Any order gives the same links; this one
    keeps common passages out of the prefixes.
-3. Two sets with the similarity asked for share a shingle among the first n - ceil(t n) + 1 of each. Such
-   prefix shingles that two classes share are the columns of the matrix.
-4. Groups: every class is compared with the smallest class at each of its shingles, and linked classes are
-   one group. Of a group, the union of its members' shingles is stored as a bitmap: a row of the matrix.
-5. Every class is a query against the groups it shares a shingle with but does not belong to. The bitmap
-   bounds the overlap from above: shingles of the query whose bit is missing are in no member. Only groups
-   that can still reach the threshold are opened, and their members compared exactly.
+3. Two sets with the similarity t share a shingle that is among the first n - ceil(t n) + 1 of the larger set and
+   among the first n - ceil(2 t n / (1 + t)) + 1 of the smaller. The former is a set's prefix, the latter its
+   *short* prefix. Shingles that two classes have in their prefixes, one of them in the short one, are the
+   columns of the matrix. Pages of one template that differ too much have their own words there, as common
+   shingles come last, so they never meet.
+4. Groups: every class is compared with two classes at each of its columns, the smallest and the most central,
+   and linked classes are one group. Of a group, the union of its members' shingles is stored as a bitmap: a row
+   of the matrix.
+5. Every class is a query against the groups it shares a column with but does not belong to, where that column
+   is short on either side, the sizes fit, and enough shingles follow for a link. The bitmap bounds the overlap
+   from above: shingles of the query whose bit is missing are in no member. Only groups that can still reach the
+   overlap that a link asks for are opened, and their members compared exactly.
 
 Every link between classes either lies inside one group (already connected) or is found in step 5, so the
 components are those of all links, while no group is expanded into all its pairs.
@@ -26,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from taskspark.llm.arrays import WordHasher, ragged, slices
+from taskspark.llm.arrays import WordHasher, give_back, ragged, slices
 from taskspark.llm.components import components
 from taskspark.llm.shingles import WIDTH, bitmap, common, fold, missing, shingle_sets
 from taskspark.session import store_and_reload
@@ -35,6 +40,9 @@ PERCENT = 80
 SLOT_BITS = 18
 #: Bits of the table that tells which ids a step may need: 2 MB, whatever the number of ids.
 ID_BITS = 24
+#: Text that a task takes at once, and what a writer gathers of bitmaps before it passes them on.
+PASS_BYTES = 1 << 19
+GROUP_BYTES = 16 << 20
 
 
 def _slot(values: np.ndarray) -> np.ndarray:
@@ -46,7 +54,7 @@ def frequency_ranks(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts = WordHasher(), np.zeros(1 << SLOT_BITS, np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PASS_BYTES):
             found = shingle_sets(batch.column("text"), hasher, width)
             counts += np.bincount(_slot(np.concatenate(found)), minlength=len(counts))
         used = np.flatnonzero(counts)
@@ -61,20 +69,25 @@ def frequency_ranks(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n, digest, mark, prefix, bits) of every row: set size, set digest (whole and 48 bits of it),
-    prefix shingles, bitmap."""
+    """(doc_id, n, digest, mark, prefix, short, bits) of every row: set size, set digest (whole and 48 bits of it),
+    prefix shingles, how many of them are the short prefix, bitmap. A set that only its equal can link with has
+    no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         hasher, order = WordHasher(), shared.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PASS_BYTES):
             sets = shingle_sets(batch.column("text"), hasher, width)
-            prefixes, bits, digests = [], [], []
+            prefixes, shorts, bits, digests = [], [], [], []
             for values in sets:
                 n = len(values)
                 length = n + (-percent * n) // 100 + 1 if n else 0
+                short = n + (-2 * percent * n) // (100 + percent) + 1 if n else 0
+                if length <= 1 and 100 * n // percent <= n:
+                    length = short = 0
+                shorts.append(short)
                 prefixes.append(values[np.argsort(order[_slot(values)], kind="stable")[:length]])
                 bits.append(bitmap(values).tobytes() if n else b"")
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
@@ -86,46 +99,59 @@ def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, wi
                     pa.array(digests, pa.binary()),
                     pa.array([int.from_bytes(d[:6], "little") for d in digests], pa.int64()),
                     ragged(np.concatenate(prefixes).view(np.int64), bounds, pa.int64()),
+                    pa.array(shorts, pa.int32()),
                     pa.array(bits, pa.binary()),
                 ],
-                names=["doc_id", "n", "digest", "mark", "prefix", "bits"],
+                names=["doc_id", "n", "digest", "mark", "prefix", "short", "bits"],
             )
 
-    schema = "doc_id long, n long, digest binary, mark long, prefix array<long>, bits binary"
+    schema = "doc_id long, n long, digest binary, mark long, prefix array<long>, short int, bits binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, schema)
 
 
-def _enough(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, c, a_n, b_low, b_high) whose number c of common prefix shingles can still lead to a link.
+def _meeting(left: DataFrame, right: DataFrame, on: list[str], percent: int) -> DataFrame:
+    """Pairs (a, b) of rows ``left`` (r, n, rest, short, token, ..) and rows or groups ``right`` (b, b_low, b_high,
+    b_rest, b_short, token, ..) that may link and meet in the first column they have in common.
 
-    Of two prefixes, all common shingles up to the end of the one that ends first are in both. So the overlap
-    is at most c plus the rest of that set, and a link of sets of sizes x and y asks for
-    ceil(p (x + y) / (100 + p)) common shingles. The least c over the sizes from b_low to b_high is at one end.
+    One side is short: two joins, so that no pair of two long sides is ever formed. The sizes leave the similarity
+    possible. And behind the first common shingle, itself included, either set has ``rest`` shingles, of which
+    ceil(p (x + y) / (100 + p)) must be common; the least y that can link counts, and the longest rest of a group.
     """
-    pairs = pairs.withColumn("x", F.greatest("b_low", F.expr(f"({percent} * a_n + 99) div 100")))
-    pairs = pairs.withColumn("y", F.least("b_high", F.expr(f"100 * a_n div {percent}")))
-    least = [
-        f"({percent} * (a_n + {k}) + {99 + percent}) div {100 + percent} - ({percent} * greatest(a_n, {k}) + 99) div 100"
-        for k in ("x", "y")
-    ]
-    return pairs.where(f"x <= y AND c >= least({least[0]}, {least[1]})")
+    least = f"greatest(b_low, ({percent} * n + 99) div 100)"
+    asked = f"({percent} * (n + {least}) + {99 + percent}) div {100 + percent}"
+    fits = F.expr(f"100 * b_high >= {percent} * n AND 100 * n >= {percent} * b_low AND least(rest, b_rest) >= {asked}")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
+    out = []
+    for own, other in ((left.where("short"), right), (left.where("NOT short"), right.where("b_short"))):
+        met = own.alias("x").join(other.alias("y"), [*same, fits])
+        out.append(met.select(F.col("x.r").alias("a"), F.col("y.b").alias("b"), *[F.col(f"x.{c}") for c in left.columns if c == "g"]))
+    return out[0].union(out[1])
 
 
 def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that their sizes and bitmaps leave possible; needs a_n, a_bits, b_low, b_high, b_bits."""
+    """Pairs (a, b) that their sizes and bitmaps leave possible; needs a_n, a_bits, b_low, b_high, b_bits.
+
+    A set of x shingles needs ceil(p (x + y) / (100 + p)) of them in common with one of y, of which the least y that
+    can link counts.
+    """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = []
-            for n, own, other in zip(
-                batch.column("a_n").to_pylist(), batch.column("a_bits"), batch.column("b_bits"), strict=True
+            for spare, own, other in zip(
+                batch.column("spare").to_pylist(), batch.column("a_bits"), batch.column("b_bits"), strict=True
             ):
                 gone = missing(np.frombuffer(own.as_buffer(), np.uint8), np.frombuffer(other.as_buffer(), np.uint8))
-                marks.append(100 * (n - gone) >= percent * n)
+                marks.append(gone <= spare)
             yield batch.select(["a", "b"]).filter(pa.array(marks, pa.bool_()))
+            del batch, own, other
+        give_back()
 
     fits = (F.col("b_high") * 100 >= F.col("a_n") * percent) & (F.col("a_n") * 100 >= F.col("b_low") * percent)
-    return pairs.where(fits).select("a", "b", "a_n", "a_bits", "b_bits").mapInArrow(keep, "a long, b long")
+    least = f"greatest(b_low, ({percent} * a_n + 99) div 100)"
+    spare = F.expr(f"a_n - ({percent} * (a_n + {least}) + {99 + percent}) div {100 + percent}")
+    rows = pairs.where(fits).withColumn("spare", spare).where("spare >= 0")
+    return rows.select("a", "b", "spare", "a_bits", "b_bits").mapInArrow(keep, "a long, b long")
 
 
 def _needed(rows: DataFrame, name: str, ids: DataFrame) -> DataFrame:
@@ -228,6 +254,44 @@ def _group_unions(members: DataFrame) -> DataFrame:
     return partial.groupBy("g").applyInArrow(finish, schema)
 
 
+def matrix_columns(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """(r, token, n, rest, short): the prefix shingles of every class that another one shares and one of them has in
+    short, with the set's size and how many of its shingles begin there."""
+    places = sets.where("doc_id IS NOT NULL").select("doc_id", "mark", "n", "short", F.posexplode("prefix").alias("at", "token"))
+    places = places.select("doc_id", "mark", "token", "n", (F.col("n") - F.col("at")).alias("rest"), (F.col("at") < F.col("short")).alias("short"))
+    shared = places.groupBy("token").agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.max("short").alias("any"))
+    shared = shared.where("low < high AND any").select("token")
+    heads = rows.where("doc_id = rep").select("doc_id").distinct()
+    columns = places.join(shared, "token").join(heads, "doc_id", "left_semi")
+    # a doc_id with several texts stands for each of them
+    columns = columns.groupBy(F.col("doc_id").alias("r"), "token", "n").agg(F.max("rest").alias("rest"), F.max("short").alias("short"))
+    return store_and_reload(columns, "columns")
+
+
+def central_links(columns: DataFrame) -> DataFrame:
+    """(a, b): every class with the smallest and with the most central class at each of its columns, to be compared.
+
+    Copies mostly link with the text they were made from, less with each other. That text often has the smallest
+    id; else it tends to be central, as its columns are shared by many copies.
+    """
+    crowd = columns.groupBy("token").agg(F.count("*").alias("m"))
+    degree = columns.join(crowd, "token").groupBy("r").agg(F.sum("m").alias("degree"))
+    ranked = columns.select("token", "r").join(degree, "r")
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("degree", (-F.col("r")).alias("id"))).alias("hub"))
+    hubs = hubs.select("token", (-F.col("hub.id")).alias("b")).union(columns.groupBy("token").agg(F.min("r").alias("b")))
+    return columns.select("token", F.col("r").alias("a")).join(hubs, "token").where("a != b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    ).distinct()
+
+
+def asked_groups(open_rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): classes and the other groups they may link into, from (token, r, n, rest, short, g)."""
+    cells = open_rows.groupBy("token", F.col("g").alias("b")).agg(
+        F.min("n").alias("b_low"), F.max("n").alias("b_high"), F.max("rest").alias("b_rest"), F.max("short").alias("b_short")
+    )
+    return _meeting(open_rows, cells, ["token"], percent).where("g > b").select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text, any other columns).
 
@@ -239,37 +303,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     """
     docs = docs.select("doc_id", "text")
     ranks = frequency_ranks(docs, width)
-    sets = store_and_reload(shingle_table(docs, ranks, percent, width), "shingles")
+    sets = store_and_reload(shingle_table(docs, ranks, percent, width), "shingles", GROUP_BYTES)
 
     classes = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     rows = store_and_reload(sets.select("doc_id", "n", "digest").join(classes, "digest", "left").drop("digest"), "classes")
 
-    places = sets.where("doc_id IS NOT NULL").select("doc_id", "mark", F.explode("prefix").alias("token"))
-    shared = places.groupBy("token").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low < high")
-    heads = rows.where("doc_id = rep").select("doc_id").distinct()
-    columns = places.select("doc_id", "token").join(shared.select("token"), "token").join(heads, "doc_id", "left_semi")
-    columns = store_and_reload(columns.select(F.col("doc_id").alias("r"), "token").distinct(), "columns")
+    columns = matrix_columns(sets, rows)
 
-    hubs = columns.groupBy("token").agg(F.min("r").alias("b"))
-    stars = columns.join(hubs, "token").where("r > b").select(F.col("r").alias("a"), "b").distinct()
-    links = _similar(stars, docs, sets, percent, width)
+    links = _similar(central_links(columns), docs, sets, percent, width)
     groups = components(links)
 
     named = columns.join(groups.withColumnRenamed("node", "r"), "r", "left")
-    named = store_and_reload(named.select("token", "r", F.coalesce("component", "r").alias("g")), "matrix")
+    named = store_and_reload(named.select("token", "r", "n", "rest", "short", F.coalesce("component", "r").alias("g")), "matrix")
     several = named.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("token")
     open_rows = store_and_reload(named.join(several, "token", "left_semi"), "open")
-    cells = open_rows.select("token", F.col("g").alias("b")).distinct()
-    asked = open_rows.join(cells, "token").where("g > b").groupBy(F.col("r").alias("a"), "b").agg(F.count("*").alias("c"))
-
     # a link to another group shares a shingle with it, so its ends are all in open_rows
+    asked = store_and_reload(asked_groups(open_rows, percent), "asked")
     ends = store_and_reload(open_rows.select(F.col("r").alias("id"), "g").distinct(), "ends")
-    sizes = sets.select(F.col("doc_id").alias("id"), "n").join(ends, "id").distinct()
-    asking = sizes.select(F.col("id").alias("a"), F.col("n").alias("a_n"))
-    spread = sizes.groupBy(F.col("g").alias("b")).agg(F.min("n").alias("b_low"), F.max("n").alias("b_high"))
-    asked = _enough(asked.join(asking, "a").join(spread, "b"), percent)
-    asked = store_and_reload(asked.select("a", "b").distinct(), "asked")
-
     member = ends.join(asked.select(F.col("b").alias("g")).distinct(), "g", "left_semi")
     wanted = asked.select(F.col("a").alias("id")).union(member.select("id")).distinct()
     rows_of = _needed(sets.select("doc_id", "n", "bits"), "doc_id", wanted)
@@ -279,11 +329,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     query = rows_of.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
     opened = store_and_reload(_bounded(asked.join(query, "a").join(unions, "b"), percent), "opened")
 
-    queries = opened.select(F.col("a").alias("r"), F.col("b").alias("g_open")).join(open_rows.select("r", "token"), "r")
-    inside = open_rows.select("token", F.col("r").alias("b"), F.col("g").alias("g_open"))
-    pairs = queries.distinct().join(inside, ["token", "g_open"]).groupBy(F.col("r").alias("a"), "b").agg(F.count("*").alias("c"))
-    other = sizes.select(F.col("id").alias("b"), F.col("n").alias("b_low"), F.col("n").alias("b_high"))
-    pairs = _enough(pairs.join(asking, "a").join(other, "b"), percent).select("a", "b").distinct()
+    queries = opened.select(F.col("a").alias("r"), F.col("b").alias("g_open")).distinct()
+    queries = queries.join(open_rows.drop("g"), "r")
+    inside = open_rows.select(
+        "token", F.col("r").alias("b"), F.col("g").alias("g_open"), F.col("n").alias("b_low"), F.col("n").alias("b_high"),
+        F.col("rest").alias("b_rest"), F.col("short").alias("b_short"),
+    )
+    pairs = _meeting(queries, inside, ["token", "g_open"], percent).select("a", "b").distinct()
     found = components(links.union(_similar(pairs, docs, sets, percent, width)))
 
     named_rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left")

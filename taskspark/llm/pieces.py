@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from taskspark.llm.arrays import kept_by_worker, ragged, slices
+from taskspark.llm.arrays import give_back, kept_by_worker, ragged, slices
 
 MARK = "▁"
 REMEMBERED = 500_000
@@ -209,6 +209,9 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str = "ids") ->
             bounds = np.cumsum([0, *(len(p) // 4 for p in parts)])
             ids = ragged(np.frombuffer(b"".join(parts), "<i4"), bounds, pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
+        pieces.words.clear()
+        pieces.stretches.clear()
+        give_back()
 
     schema = StructType([*docs.schema.fields, StructField(out, ArrayType(IntegerType()))])
     return docs.mapInArrow(run, schema)

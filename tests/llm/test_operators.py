@@ -294,3 +294,60 @@ def test_pipeline_stages_follow_their_operators(spark, docs, benchmark, language
 def test_queries_are_registered():
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names and set(queries.ORACLE) <= set(entry.oracle_sql())
+
+
+def test_pages_of_one_template_never_meet(spark, monkeypatch):
+    """3,000 pages that share 10 of 12 words and link with nothing: no square of their number."""
+    rows = []
+    for k in range(3_000):
+        words = [f"t{i}" for i in range(14)]
+        words[0], words[13] = f"a{k}", f"b{k}"
+        rows.append((k, " ".join(words)))
+    pages = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    asked = []
+    real = jaccard_join.asked_groups
+    monkeypatch.setattr(jaccard_join, "asked_groups", lambda *r: asked.append(real(*r)) or asked[-1])
+    found = jaccard_join.near_duplicates(pages)
+    assert found.where("doc_id != component_id").count() == 0
+    assert asked[0].count() < 100_000
+
+
+@pytest.mark.parametrize(("seed", "percent"), [(1, 80), (2, 80), (3, 90), (4, 50), (5, 67)])
+def test_random_near_copies_equal_all_pairs(spark, seed, percent):
+    """Sets of very different and of nearly equal sizes around the threshold."""
+    rng = random.Random(seed)
+    bases = [[f"w{rng.randint(0, 60)}" for _ in range(rng.choice([5, 6, 8, 12, 25, 60]))] for _ in range(12)]
+    rows = []
+    for k in range(160):
+        words = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            at = rng.randrange(len(words))
+            words[at : at + rng.choice([0, 1, 1])] = rng.choice([[], [f"x{rng.randint(0, 5)}"], [f"x{k}", "y"]])
+            words = words or ["z"]
+        rows.append((k, " ".join(words)))
+    sets = {}
+    for k, text in rows:
+        w = text.split()
+        sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+    parent = list(range(len(rows)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((top(a), top(b)))
+            parent[y] = x
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(3), percent).collect()}
+    assert got == {k: top(k) for k in range(len(rows))}
+
+
+def test_half_signs_are_no_letters(spark, languages):
+    rows = spark.createDataFrame([(1, "½ ²"), (2, "3½ ①"), (3, "½ the ②"), (4, "_ 12")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(rows, languages).collect()}
+    assert got[1] == got[2] == got[4] == ("und", 0.0) and got[3][0] != "und"
+    assert set(language_id.grams("a½b").tolist()) == set(language_id.grams("a b").tolist())
