@@ -88,10 +88,16 @@ def typed(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     )
 
 
-def with_item_completed(task: DataFrame) -> DataFrame:
-    """``IsItemCompleted``: every task of the item has a completion date."""
+def completions(fact: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """Item keys and completion dates of the raw task fact, typed as ``typed`` types them."""
+    narrow = read_dates(fact.select(*ITEM, "Completed_On"), ["Completed_On"], rules.null_out_of_range)
+    return narrow.withColumns({c: F.col(c).try_cast("bigint") for c in ITEM})
+
+
+def with_item_completed(task: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """``IsItemCompleted``: every task of the item, among the rows ``of``, has a completion date."""
     done = F.bool_and(F.col("Completed_On").isNotNull()).alias("IsItemCompleted")
-    return with_group_values(task, ITEM, done)
+    return with_group_values(task, ITEM, done, of=of)
 
 
 def with_planning_flag(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
@@ -108,11 +114,16 @@ def with_planning_flag(task: DataFrame, rules: CleaningRules = CleaningRules())
     return task.withColumn("IsPlanning", flag)
 
 
-def with_tags(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Completion, turnback, life and planning tags, from the dates before their correction."""
+def with_tags(
+    task: DataFrame, rules: CleaningRules = CleaningRules(), of: DataFrame | None = None
+) -> DataFrame:
+    """Completion, turnback, life and planning tags, from the dates before their correction.
+
+    ``of``: the rows whose items are looked at for completion, ``task`` by default.
+    """
     in_code = contains_any(F.col("TaskCodeText"), rules.turnback_words).cast("int")
     in_text = contains_any(F.col("TaskText"), rules.turnback_words).cast("int")
-    tagged = with_item_completed(task).withColumns(
+    tagged = with_item_completed(task, of).withColumns(
         {
             "IsTaskCompleted": F.col("Completed_On").isNotNull(),
             "IsTurnback": F.greatest(in_code, in_text),
@@ -157,12 +168,14 @@ def clean(sources: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules
     """The cleaned task fact of the renamed record sets.
 
     The joined task codes are stored first: Spark then knows their size, and shuffles the fact for
-    them only if they are too large to broadcast.
+    them only if they are too large to broadcast. Completion of items is folded from three columns
+    of the fact, so each dimension is joined once.
     """
     codes = with_general_code(sources["TaskCode"], sources["GeneralCode"])
     codes = store_and_reload(codes, "codes")
     task = star_join({**sources, "TaskCode": codes})
-    return with_corrections(with_tags(typed(task, rules), rules), rules)
+    done = completions(sources["LayoutProcessingTask"], rules)
+    return with_corrections(with_tags(typed(task, rules), rules, of=done), rules)
 
 
 def cleaned_output(task: DataFrame) -> DataFrame:

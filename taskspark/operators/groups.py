@@ -17,10 +17,17 @@ from taskspark.session import store_and_reload
 
 
 def with_group_values(
-    df: DataFrame, keys: Sequence[str], *values: Column, measured: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    *values: Column,
+    measured: bool = False,
+    of: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with aggregates of its groups added; null keys form a group.
 
+    ``of`` are the rows the groups are folded from, ``df`` itself by default: where ``df`` is the
+    outcome of joins that add columns only, the narrow rows before them give the same groups.
+
     ``measured`` stores the groups first. Where few are expected this saves a shuffle of all rows:
     Spark then knows their size, broadcasts them if they are small, and shuffles if they are not.
 
@@ -28,7 +35,7 @@ def with_group_values(
     once more for the join: adaptive execution splits hot keys only between two such shuffles.
     """
     names = {k: f"__group_{k}" for k in keys}
-    groups = df.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(*values)
+    groups = (df if of is None else of).groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(*values)
     if measured:
         groups = store_and_reload(groups, "groups")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
