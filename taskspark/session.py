@@ -58,6 +58,21 @@ def store_and_reload(df: DataFrame, label: str, group_bytes: int | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: What one task may gather of wide rows: bytes of an Arrow batch, bytes of a Parquet row group.
+BUFFERS = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "parquet.block.size": str(32 << 20)}
+
+
+def bound_buffers(spark: SparkSession, sizes: dict[str, str] = BUFFERS) -> None:
+    """Keep what tasks gather of wide rows small, for the rest of the session; what the user has set stays.
+
+    Batches to Python are otherwise up to 64 MB and row groups 128 MB, both several times per task and outside
+    what Spark accounts for. Rows and results do not depend on either size.
+    """
+    for name, size in sizes.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, size)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder, on whatever file system the path names."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
