@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from taskspark.llm import decontamination, jaccard_join, language_id, pieces, secrets
 from taskspark.llm.queries import PIECES
-from taskspark.session import store_and_reload
+from taskspark.session import bound_buffers, store_and_reload
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; a model is fitted on the rows of ``docs`` that are not held out."""
+    bound_buffers(spark)  # for this stage and those behind it: all of them move whole texts
     model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"), 4, 2)))
     told = language_id.predict(docs, model)
     return told.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
