@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,14 +27,33 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+#: The folder of the job that is running, below the application's.
+_JOB: ContextVar[str] = ContextVar("taskspark_job", default="")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder of this application's intermediate tables."""
     return f"{shared_dir(spark).rstrip('/')}/taskspark/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path for one intermediate table."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path for one intermediate table, in the folder of the job if one is running."""
+    return f"{scratch_root(spark)}{_JOB.get()}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside go when it ends, well or not; those of others stay.
+
+    For jobs that write their result: a DataFrame handed out of it would read tables that are gone.
+    """
+    inside = _JOB.set(f"{_JOB.get()}/job-{uuid.uuid4().hex}")
+    folder = scratch_root(spark) + _JOB.get()
+    try:
+        yield
+    finally:
+        _JOB.reset(inside)
+        delete_path(spark, folder)
 
 
 def drop_scratch(spark: SparkSession) -> None:

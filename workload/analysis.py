@@ -9,10 +9,10 @@ from taskspark.functions import dates, texts
 from taskspark.functions.alignment import align_global, align_hybrid, align_local
 from taskspark.operators import cleaning, features, impute, sequences
 from taskspark.operators.outliers import drop_outliers as drop
-from taskspark.plans import models
-from taskspark.session import store_and_reload
+from taskspark.plans import jobs, models
+from taskspark.session import scratch_path, store_and_reload
 from taskspark.sources.scans import load_sources
-from taskspark.vocab import CLEANED_FIELDS
+from taskspark.vocab import CLEANED_FIELDS, SIMILARITY_FIELDS
 from workload import tables
 from workload.alignment_sql import aligned
 from workload.registry import query
@@ -328,6 +328,14 @@ def clean_output(spark, sf_dir):
     return cleaning.cleaned_output(cleaning.clean(sources(spark, sf_dir), RULES))
 
 
+@query("job_clean_data", _cleaned_sql())
+def job_clean_data(spark, sf_dir):
+    """The cleaning job through files: record sets in, the rows of the stored run out."""
+    path = scratch_path(spark, "cleaned")
+    jobs.clean_data(tables.records(spark, sf_dir), path, "first", RULES)
+    return spark.read.parquet(path).where("run_date = 'first'").drop("run_date")
+
+
 # --- features -------------------------------------------------------------------------------
 
 PREPARED_SQL = f"""{MT},
@@ -771,3 +779,22 @@ def similarity_workorders(spark, sf_dir):
     rows = tables.work_orders(spark, sf_dir).withColumn("LayoutId", F.col("Item"))
     found = sequences.similarity(rows, ("Task", "Id"))
     return arrays_as_text(found.withColumn("Score", F.round("Score", 9)), *ARRAYS)
+
+
+NAMED_SEQ = f"""{tables.with_clauses('sequence_tasks')}, named AS (
+    SELECT s.* REPLACE (coalesce(c.TaskCodeName, 'nan') AS TaskCode) FROM sequence_tasks s
+    LEFT JOIN ({CODE_NAMES_SQL}) c ON c.TaskCodeId = ascii(s.TaskCode) * 100 + length(s.TaskCode)),
+{_pairs_sql('named', 'Placed, Id')}"""
+SIMILARITY_FILE = ", ".join(f"{c} AS {SIMILARITY_FIELDS.get(c, c)}" for c in sequences.RESULT)
+
+
+@query("job_similarities", f"{NAMED_SEQ}, {aligned('pairs', 'hybrid')} SELECT {SIMILARITY_FILE} FROM ({SIMILAR})")
+def job_similarities(spark, sf_dir):
+    """The similarity job through files, from code ids: the rows of the stored run."""
+    tasks = tables.sequence_tasks(spark, sf_dir)
+    tasks = tasks.withColumn("TaskCodeId", F.expr("ascii(TaskCode) * 100 + length(TaskCode)")).drop("TaskCode")
+    path = scratch_path(spark, "similarities")
+    jobs.all_similarities(tasks, ORDER, path, "first", spark.sql(CODE_NAMES_SQL))
+    found = spark.read.parquet(path).where("run_date = 'first'").drop("run_date")
+    texts = [SIMILARITY_FIELDS.get(c, c) for c in ARRAYS]
+    return arrays_as_text(found.withColumn("Score", F.round("Score", 9)), *texts)

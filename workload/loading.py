@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,9 @@ from taskspark import vocab
 from taskspark.operators import extract as ex
 from taskspark.operators.ids import dense_ids
 from taskspark.operators.keys import Lookup, choices, new_rows, resolve
-from taskspark.plans import load
+from taskspark.plans import jobs, load
 from taskspark.plans.entities import ENTITIES
-from taskspark.session import scratch_path, store_and_reload
+from taskspark.session import path_exists, scratch_path, store_and_reload
 from taskspark.sources import cells, scans, sinks
 from taskspark.sources.tables import Tables, cause_code_ids
 from taskspark.sources.tables import query as ad_hoc
@@ -778,3 +780,34 @@ def rename_map(spark, sf_dir):
 @query("null_to_blank", WO + BLANKED_SQL)
 def null_to_blank(spark, sf_dir):
     return ex.clean_sheet("SAP_Raw_Extract", tables.sheet(spark, sf_dir, "SAP_Raw_Extract"))
+
+
+JOB_SQL = LOADED_SQL.replace(
+    "SELECT CAST(s_suppkey AS VARCHAR) AS code FROM supplier\n    WHERE s_acctbal > 0",
+    "SELECT DISTINCT SupplierVendor AS code FROM t",
+)
+
+
+@query("job_import_entities", f"{JOB_SQL} SELECT entity, stored, again + unresolved AS rejects FROM loaded")
+def job_import_entities(spark, sf_dir):
+    """Sheets to entity files to tables: rows stored, and rows in the files of rejects, by entity."""
+    root = scratch_path(spark, "import")
+    paths = {name: f"{root}/raw/{name}" for name in tables.SHEETS}
+    for name, path in paths.items():
+        tables.sheet(spark, sf_dir, name).write.options(**cells.WRITE).csv(path)
+    jobs.split_raw(spark, paths, f"{root}/entities")
+    store = Tables(spark, f"{root}/tables")
+    jobs.import_entities(spark, f"{root}/entities", store, f"{root}/failed")
+    return reduce(DataFrame.unionByName, [_imported(spark, root, store, e) for e in ENTITIES.values()])
+
+
+def _imported(spark, root, store, entity) -> DataFrame:
+    stored = store.read(entity.table).agg(F.count("*").alias("stored"))
+    failed = f"{root}/failed/Failed_{entity.name}"
+    rejects = F.lit(0).cast("long").alias("rejects")
+    if path_exists(spark, failed):
+        rows = spark.read.option("sep", ";").options(**cells.read_options()).csv(failed)
+        return rows.agg(F.sum(F.col("copies").cast("long")).alias("rejects")).join(stored).select(
+            F.lit(entity.name).alias("entity"), "stored", "rejects"
+        )
+    return stored.select(F.lit(entity.name).alias("entity"), "stored", rejects)
