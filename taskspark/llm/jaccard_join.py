@@ -185,7 +185,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _similar(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets have the similarity, compared shingle by shingle."""
     pairs = store_and_reload(pairs, "pairs")
-    sizes = _needed(sets.select("doc_id", "n", "bits"), "doc_id", _ends(pairs))
+    sizes = _needed(sets.where("n > 0").select("doc_id", "n", "bits"), "doc_id", _ends(pairs))
     left = sizes.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
     right = sizes.select(
         F.col("doc_id").alias("b"), F.col("n").alias("b_low"), F.col("n").alias("b_high"), F.col("bits").alias("b_bits")
@@ -322,7 +322,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     ends = store_and_reload(open_rows.select(F.col("r").alias("id"), "g").distinct(), "ends")
     member = ends.join(asked.select(F.col("b").alias("g")).distinct(), "g", "left_semi")
     wanted = asked.select(F.col("a").alias("id")).union(member.select("id")).distinct()
-    rows_of = _needed(sets.select("doc_id", "n", "bits"), "doc_id", wanted)
+    # a doc_id may have a text without words beside others
+    rows_of = _needed(sets.where("n > 0").select("doc_id", "n", "bits"), "doc_id", wanted)
     unions = _group_unions(rows_of.join(member, rows_of["doc_id"] == member["id"]).select("g", "n", "bits")).select(
         F.col("g").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high"), F.col("bits").alias("b_bits")
     )
