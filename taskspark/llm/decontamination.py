@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from taskspark.llm.arrays import LOWER, WordHasher, flat, mix, runs, slices
 
 SEED_WORDS = 3
-#: A seed is rare if at most this share of the documents has it. An item's rarest seeds always count.
+#: A seed is rare if at most this share of the documents has it, or so few of them that a share says nothing.
+#: An item's rarest seeds always count.
 RARE_SHARE = 0.0005
+RARE_DOCUMENTS = 50
 SEEDS_AT_LEAST = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of an item's best possible score from which a passage is a copy of it, and the words it must align.
@@ -129,14 +131,15 @@ def seed_counts(docs: DataFrame, seeds: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def rare(
-    part: Block, counts: np.ndarray, documents: int, share: float = RARE_SHARE, least: int = SEEDS_AT_LEAST
-) -> np.ndarray:
+    part: Block, counts: np.ndarray, documents: int, share: float = RARE_SHARE, least: int = SEEDS_AT_LEAST,
+    few: int = RARE_DOCUMENTS,
+) -> np.ndarray:
     """Which of the block's seeds (in its order) are to be looked for.
 
-    Of every item the seeds in at most ``share`` of the documents, and in any case its ``least`` rarest ones, so
-    an item that many documents have copied is still found. A share of 1 keeps all seeds.
+    Of every item the seeds in at most ``share`` of the documents or ``few`` of them, and in any case its ``least``
+    rarest ones, so an item that many documents have copied is still found. A share of 1 keeps all seeds.
     """
-    keep = counts <= share * documents
+    keep = counts <= max(share * documents, few)
     order = np.lexsort((counts, part.items))
     first = np.searchsorted(part.items[order], part.items[order])
     keep[order[np.arange(len(order)) - first < least]] = True
@@ -193,14 +196,15 @@ def leaks(
     rare_share: float = RARE_SHARE,
     seeds_at_least: int = SEEDS_AT_LEAST,
     aligned_words: int = ALIGNED_WORDS,
+    rare_documents: int = RARE_DOCUMENTS,
 ) -> DataFrame:
     """(doc_id, item_id, score, matched_words, start, end): the best passage of every document for every item
     it has a copy of, edited or not. ``score`` is the share of the item's best possible alignment score;
     start and end are code points of the text.
 
-    Seeds of an item that more than ``rare_share`` of the documents have are looked for only if they are among
-    its ``seeds_at_least`` rarest; a copy that shares none of the chosen seeds is not found. With 1.0 all are
-    looked for. Null and empty texts have no passages; an item of fewer than ``aligned_words`` words is too short
+    Seeds of an item that more than ``rare_share`` of the documents, and more than ``rare_documents``, have are
+    looked for only if they are among its ``seeds_at_least`` rarest; a copy that shares none of the chosen seeds is
+    not found. With a share of 1.0 all are looked for. Null and empty texts have no passages; an item of fewer than ``aligned_words`` words is too short
     to be told from common speech and is in no document; repeated rows stay repeated; empty tables give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -211,7 +215,7 @@ def leaks(
             continue
         distinct, index = np.unique(part.seeds, return_inverse=True)
         counts, documents = seed_counts(docs, distinct)
-        keep = rare(part, counts[index], documents, rare_share, seeds_at_least)
+        keep = rare(part, counts[index], documents, rare_share, seeds_at_least, rare_documents)
         chosen = (part.ids, part.words, part.seeds[keep], part.items[keep], part.places[keep])
         found = found.union(docs.mapInArrow(_finder(docs.sparkSession, chosen, threshold, aligned_words), schema))
     return found
