@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taskspark.llm.arrays import kept_by_worker
+from taskspark.llm.arrays import give_back, kept_by_worker
 
 #: first: the span of its first byte; last: that of its last byte; largest: the span that holds most of its
 #: bytes, the earlier one on a tie; shared: every span gets its share of the bytes.
@@ -84,10 +84,9 @@ def attribute(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = kept_by_worker(f"bytepairs {vocabulary}", lambda: Bytepairs(vocabulary, pattern))
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            columns = [batch.column(k + 1).to_pylist() for k in range(len(fields))]
             out: list[list] = [[] for _ in range(7)]
-            for doc_id, *values in zip(ids, *columns, strict=True):
+            for row in range(batch.num_rows):  # one document at a time: a batch may hold many long ones
+                doc_id, *values = (column[row].as_py() for column in batch.columns)
                 sections = []
                 for k, value in enumerate(values):
                     lines = (value or "").split("\n")
@@ -110,6 +109,7 @@ def attribute(
                     yield packed(out)
                     out = [[] for _ in range(7)]
             yield packed(out)
+        give_back()
 
     kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
     names = ("doc_id", "field", "section", "char_start", "char_end", "n_tokens", "doc_tokens")
