@@ -114,16 +114,21 @@ def verdict(entries: DataFrame, version: int) -> DataFrame:
 def ablations(entries: DataFrame, version: int) -> DataFrame:
     """(rule, n_failed, n_alone, kept, kept_without): what each rule of a policy does, and what goes without it.
 
-    Ledger rows are first counted per combination of bits, of which there are at most 2**rules.
+    The counts are those of ``verdict``: base rules hold under every policy, so leaving one out of a policy keeps
+    no more rows. Ledger rows are first counted per combination of bits, of which there are at most 2**rules; an
+    empty ledger gives no rows.
     """
-    whole = mask(POLICIES[version])
-    combos = entries.groupBy(F.col("failed").bitwiseAND(F.lit(whole)).alias("bits")).agg(F.count("*").alias("n"))
-    rules = [F.struct(F.lit(name).alias("rule"), F.lit(mask((name,))).alias("bit")) for name in POLICIES[version]]
-    rows = combos.select("bits", "n", F.explode(F.array(*rules)).alias("x")).select("bits", "n", "x.rule", "x.bit")
+    names = tuple(dict.fromkeys((*BASE, *POLICIES[version])))
+    combos = entries.groupBy(F.col("failed").bitwiseAND(F.lit(mask(names))).alias("bits")).agg(F.count("*").alias("n"))
+    rules = [
+        F.struct(F.lit(name).alias("rule"), F.lit(mask((name,))).alias("bit"), F.lit(0 if name in BASE else mask((name,))).alias("free"))
+        for name in names
+    ]
+    rows = combos.select("bits", "n", F.explode(F.array(*rules)).alias("x")).select("bits", "n", "x.*")
     total = lambda condition: F.sum(F.expr(f"CASE WHEN {condition} THEN n ELSE 0 END"))
     return rows.groupBy("rule").agg(
         total("(bits & bit) != 0").alias("n_failed"),
         total("bits = bit").alias("n_alone"),
         total("bits = 0").alias("kept"),
-        total("(bits & ~bit) = 0").alias("kept_without"),
+        total("(bits & ~free) = 0").alias("kept_without"),
     )

@@ -13,7 +13,7 @@ from taskspark.llm.decontamination import leaks
 from taskspark.llm.jaccard_join import near_duplicates
 from taskspark.llm.language_id import fit, held_out, predict
 from taskspark.llm.pieces import round_trip
-from taskspark.llm.quality_rules import ledger, verdict
+from taskspark.llm.quality_rules import ablations, ledger, verdict
 from taskspark.llm.vector_codes import compress, report
 from taskspark.llm.warc import converted_pages
 
@@ -52,6 +52,11 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return verdict(ledger(table(spark, folder, "documents")), 2)
 
 
+def rule_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of policy 2 does to all documents, and what would be kept without it."""
+    return ablations(ledger(table(spark, folder, "documents")), 2)
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every field and line of every document."""
     return attribute(table(spark, folder, "documents"), BYTEPAIRS, BYTEPAIR_PATTERN)
@@ -117,10 +122,12 @@ QUERIES = {
     "op11_warc": op11_warc,
     "op12_vector_codes": op12_vector_codes,
     "op13_collocations": op13_collocations,
+    "rule_ablations": rule_ablations,
 }
 ORACLE = {
     "op3_jaccard_join": sql.JACCARD,
     "op4_quality_rules": sql.QUALITY,
+    "rule_ablations": sql.ABLATIONS,
     "op6_chat": sql.CHAT,
     "op11_warc": sql.WARC,
     "op12_vector_codes": sql.VECTOR_CODES,

@@ -57,6 +57,14 @@ WITH body AS (
 SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM judged
 """
 
+ABLATIONS = f"""
+SELECT rule, count(*) FILTER (failed & bit <> 0) AS n_failed, count(*) FILTER (failed = bit) AS n_alone,
+    count(*) FILTER (kept) AS kept, count(*) FILTER (kept OR (failed = bit AND NOT base_failed)) AS kept_without
+FROM ({QUALITY}) q, (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8),
+    ('short_words', 16), ('long_words', 32), ('capitals', 64), ('exclamations', 128)) r(rule, bit)
+GROUP BY rule
+"""
+
 CONTROL = r"\\|</?s>|\[/?INST\]|\[/?ROLE\]"
 
 CHAT = rf"""
