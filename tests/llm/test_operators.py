@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from taskspark.llm import decontamination, jaccard_join, language_id, licenses, pieces, queries, secrets
+from taskspark.llm import decontamination, jaccard_join, language_id, licenses, pieces, quality_rules, queries, secrets
 from taskspark.llm.attribution import attribute
 from taskspark.llm.chat import format_conversations, read_back
 from taskspark.llm.quality_rules import ablations, ledger, verdict
@@ -120,7 +120,7 @@ def test_keep_one_leaves_one_row_of_each_group(spark):
     assert sorted(r.doc_id for r in kept) == [1, 3, 4, 5]
 
 
-def test_pieces_come_back_and_equal_the_public_encoder(docs):
+def test_pieces_come_back(docs):
     known = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
     got = pieces.decode(pieces.encode(docs.limit(60), queries.PIECES), queries.PIECES).collect()
     assert got
@@ -145,11 +145,20 @@ def test_tokens_are_those_of_the_whole_document(spark, docs):
             assert sums[d.doc_id][1] == len(known.encode_ordinary(text))
 
 
-def test_ablation_counts_equal_verdicts_without_a_rule(docs):
+def test_ablation_counts_equal_verdicts_without_a_rule(docs, monkeypatch):
     entries = ledger(docs).cache()
-    assert verdict(entries, 1).where("kept").count() == verdict(entries, 1).where("not base_failed").count()
-    assert verdict(entries, 2).where("kept and base_failed").count() == 0
-    assert ablations(entries, 2).count() > 0
+    got = {r.rule: r for r in ablations(entries, 2).collect()}
+    rules = quality_rules.POLICIES[2]
+    assert set(got) == set(rules)
+    for rule in rules:
+        monkeypatch.setitem(quality_rules.POLICIES, 99, tuple(x for x in rules if x != rule))
+        bit = quality_rules.mask((rule,))
+        want = (
+            entries.where(F.col("failed").bitwiseAND(F.lit(bit)) != 0).count(), entries.where(f"failed = {bit}").count(),
+            verdict(entries, 2).where("kept").count(), verdict(entries, 99).where("kept").count(),
+        )
+        assert tuple(got[rule])[1:] == want
+    assert ablations(entries.limit(0), 2).collect() == []
 
 
 BASE = (
