@@ -52,16 +52,25 @@ def with_general_code(codes: DataFrame, general: DataFrame) -> DataFrame:
 
 
 def star_join(sources: Mapping[str, DataFrame], fact_columns: Sequence[str] = FACT_COLUMNS) -> DataFrame:
-    """The task fact with the columns of its nine dimensions; unknown ids give nulls."""
+    """The task fact with the columns of its nine dimensions; unknown ids give nulls.
+
+    The dimensions that grow with the fact come first, while its rows are narrow: what Spark broadcasts adds its
+    texts to rows that are not shuffled any more.
+    """
 
     def dim(name: str, *columns: str) -> DataFrame:
         return sources[name].select(*columns)
 
     programs = dim("EngineProgram", "Notification", "Coding", F.col("Description").alias("Engine"))
-    return (
+    task = (
         sources["LayoutProcessingTask"]
         .select(*fact_columns)
         .join(programs, "Notification", "left")
+        .join(
+            dim("TaskCode", "TaskCodeId", "TaskCode", "TaskCodeText", "GeneralCode"),
+            "TaskCodeId",
+            "left",
+        )
         .join(dim("SupplierVendor", "SupplierVendorId", "SupplierVendor"), "SupplierVendorId", "left")
         .join(dim("TaskOwner", "TaskOwnerId", "TaskOwner"), "TaskOwnerId", "left")
         .join(dim("TaskStatus", "TaskStatusId", "TaskStatus"), "TaskStatusId", "left")
@@ -69,12 +78,9 @@ def star_join(sources: Mapping[str, DataFrame], fact_columns: Sequence[str] = FA
         .join(dim("CauseCode", "CauseCodeId", "CauseCode"), "CauseCodeId", "left")
         .join(dim("DamageCode", "DamageCodeId", "DamageCode"), "DamageCodeId", "left")
         .join(dim("Category", "CategoryId", "Category"), "CategoryId", "left")
-        .join(
-            dim("TaskCode", "TaskCodeId", "TaskCode", "TaskCodeText", "GeneralCode"),
-            "TaskCodeId",
-            "left",
-        )
     )
+    codes = ["TaskCode", "TaskCodeText", "GeneralCode"]
+    return task.select("TaskCodeId", *[c for c in task.columns if c not in ("TaskCodeId", *codes)], *codes)
 
 
 def typed(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
@@ -94,10 +100,12 @@ def completions(fact: DataFrame, rules: CleaningRules = CleaningRules()) -> Data
     return narrow.withColumns({c: F.col(c).try_cast("bigint") for c in ITEM})
 
 
-def with_item_completed(task: DataFrame, of: DataFrame | None = None) -> DataFrame:
+def with_item_completed(
+    task: DataFrame, of: DataFrame | None = None, keys: Sequence[str] = ITEM
+) -> DataFrame:
     """``IsItemCompleted``: every task of the item, among the rows ``of``, has a completion date."""
     done = F.bool_and(F.col("Completed_On").isNotNull()).alias("IsItemCompleted")
-    return with_group_values(task, ITEM, done, of=of)
+    return with_group_values(task, keys, done, of=of)
 
 
 def with_planning_flag(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
@@ -121,9 +129,14 @@ def with_tags(
 
     ``of``: the rows whose items are looked at for completion, ``task`` by default.
     """
+    return with_task_tags(with_item_completed(task, of), rules)
+
+
+def with_task_tags(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """The tags that a task has by itself."""
     in_code = contains_any(F.col("TaskCodeText"), rules.turnback_words).cast("int")
     in_text = contains_any(F.col("TaskText"), rules.turnback_words).cast("int")
-    tagged = with_item_completed(task, of).withColumns(
+    tagged = task.withColumns(
         {
             "IsTaskCompleted": F.col("Completed_On").isNotNull(),
             "IsTurnback": F.greatest(in_code, in_text),
@@ -169,13 +182,19 @@ def clean(sources: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules
 
     The joined task codes are stored first: Spark then knows their size, and shuffles the fact for
     them only if they are too large to broadcast. Completion of items is folded from three columns
-    of the fact, so each dimension is joined once.
+    of the fact and joined to it before any dimension, while its rows are narrow.
     """
     codes = with_general_code(sources["TaskCode"], sources["GeneralCode"])
     codes = store_and_reload(codes, "codes")
-    task = star_join({**sources, "TaskCode": codes})
-    done = completions(sources["LayoutProcessingTask"], rules)
-    return with_corrections(with_tags(typed(task, rules), rules, of=done), rules)
+    fact = sources["LayoutProcessingTask"].select(*FACT_COLUMNS)
+    keys = {c: f"__typed_{c}" for c in ITEM}
+    done = completions(fact, rules).withColumnsRenamed(keys)
+    fact = fact.withColumns({n: F.col(c).try_cast("bigint") for c, n in keys.items()})
+    fact = with_item_completed(fact, done, list(keys.values())).drop(*keys.values())
+    task = star_join(
+        {**sources, "LayoutProcessingTask": fact, "TaskCode": codes}, (*FACT_COLUMNS, "IsItemCompleted")
+    )
+    return with_corrections(with_task_tags(typed(task, rules), rules), rules)
 
 
 def cleaned_output(task: DataFrame) -> DataFrame:
