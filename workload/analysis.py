@@ -462,6 +462,7 @@ def impute_median(spark, sf_dir):
         dates.whole_days(F.col("Created_On"), F.col("Completed_On")).alias("days"),
         F.when(F.col("Task") > 5, F.col("Task")).alias("task"),
     )
+    rows = store_and_reload(rows, "gaps")  # read once for each step of the medians and once to be filled
     return impute.fill_numbers(rows, impute.medians(rows, ["days", "task"]))
 
 
@@ -516,7 +517,7 @@ FROM rows LEFT JOIN m USING (Material) LEFT JOIN o USING (TaskOwner)""",
 )
 def one_hot_vectors(spark, sf_dir):
     """Every task's material and owner as a sparse vector over all levels, read back with the level names."""
-    rows = tables.work_orders(spark, sf_dir).select("Id", "Material", "TaskOwner")
+    rows = store_and_reload(tables.work_orders(spark, sf_dir).select("Id", "Material", "TaskOwner"), "levels")
     found = impute.one_hot_vectors(rows, impute.learn_vectors(rows, ["Material", "TaskOwner"]))
     names = impute.vector_names(found)
     level = spark.createDataFrame(list(enumerate(names)), "at int, level string")
@@ -573,6 +574,7 @@ def _matrix_sql() -> str:
 def feature_matrix(spark, sf_dir):
     """The selected features of all tasks in their fixed order."""
     rows = comparable(prepared(spark, sf_dir))
+    rows = store_and_reload(rows.select("Id", *features.source_columns(rows.drop("Id"), SELECTED)), "prepared")
     fills = impute.medians(rows, features.number_features(rows, SELECTED))
     return features.feature_matrix(rows, fills, SELECTED, keep=["Id"])
 
