@@ -1,6 +1,7 @@
 """What is moved and kept on disk: join order, shared rows, compressed files, dropped shuffles."""
 
 import glob
+from datetime import date
 
 from pyspark.sql import functions as F
 
@@ -67,3 +68,41 @@ def test_part_texts_are_joined_last():
     text = tables.WORK_ORDERS.replace(tables.JOINS, tables.NARROW_JOINS)
     assert text != tables.WORK_ORDERS
     assert text.index("JOIN part p") > text.index("JOIN customer c")
+
+
+def _order_tables(spark, folder):
+    """Orders of three items; a line without a part, an order without a customer, a part and an order that repeat."""
+    rows = {
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(1, "N", 0)]),
+        "customer": ("c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string", [(1, 1, 5.0, "S"), (2, 1, -5.0, None)]),
+        "part": ("p_partkey long, p_name string, p_type string, p_brand string", [(1, "ring", "MEDIUM", "B"), (2, None, "T", "B"), (2, "x", "ECONOMY", "C")]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string, o_orderstatus string",
+            [(k, c, date(1999, 1, k), "P", "O") for k, c in ((1, 1), (2, 1), (2, 1), (3, 2), (4, 9), (5, None))],
+        ),
+        "lineitem": (
+            "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double,"
+            " l_tax double, l_linestatus string, l_returnflag string, l_shipdate date",
+            [
+                (o, n, p, 1, 3.0, 0.01, 0.02, status, flag, date(1999, 2, 1))
+                for o, n, p, status, flag in (
+                    (1, 1, 1, "F", "N"), (2, 1, 2, "O", "A"), (1, 2, 1, "F", "N"), (2, 2, 2, "O", "N"), (3, 1, 1, "F", "N"),
+                    (3, 1, 7, "O", "N"), (3, 1, None, "O", "N"), (4, 1, 1, "F", "N"), (5, 1, 1, "F", "N"), (1, None, 1, "F", "N"),
+                )
+            ],
+        ),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_state_of_items_meets_the_tasks_before_the_part_texts(spark, tmp_path):
+    _order_tables(spark, tmp_path)
+    found = tables.model_tasks(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    last, *others = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "p_partkey" in last and any("done" in line or "Item" in line for line in others)
+    plain = spark.sql(tables.MODEL_TASKS)
+    assert found.schema == plain.schema
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
+    assert {(r["Notification"], r["Item"], r["IsItemCompleted"]) for r in found.collect()} == {(1, 1, True), (1, 2, False), (2, 1, True)}
