@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from taskspark.operators import cleaning
 from taskspark.session import shuffles_dropped
 from taskspark.sources import scans, sinks
-from workload import tables
+from workload import loading, tables
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -106,3 +106,16 @@ def test_state_of_items_meets_the_tasks_before_the_part_texts(spark, tmp_path):
     assert found.schema == plain.schema
     assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
     assert {(r["Notification"], r["Item"], r["IsItemCompleted"]) for r in found.collect()} == {(1, 1, True), (1, 2, False), (2, 1, True)}
+
+
+def test_work_orders_are_joined_once_for_all_sheets(spark, tmp_path):
+    _order_tables(spark, tmp_path)
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(1, 5.0), (2, -5.0)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    plain = {name: tables.sheet(spark, str(tmp_path), name) for name in tables.SHEETS}
+    expected = {name: (rows.schema, sorted(map(repr, rows.collect()))) for name, rows in plain.items()}
+    found = tables.sheets(spark, str(tmp_path))
+    assert {name: (rows.schema, sorted(map(repr, rows.collect()))) for name, rows in found.items()} == expected
+    assert len(expected["SAP_Raw_Extract"][1]) > 6
+    for rows in loading.entity_sources(spark, str(tmp_path)).values():
+        assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
