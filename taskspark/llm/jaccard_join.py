@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -69,9 +69,9 @@ def frequency_ranks(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n, digest, mark, prefix, short, bits) of every row: set size, set digest (whole and 48 bits of it),
-    prefix shingles, how many of them are the short prefix, bitmap. A set that only its equal can link with has
-    no prefix."""
+    """(doc_id, n, digest, mark, prefix, short, bulk, bits) of every row: set size, set digest (whole and 48 bits of
+    it), prefix shingles, how many of them are the short prefix, how many have the rank 0, which come first, bitmap.
+    A set that only its equal can link with has no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +80,7 @@ def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, wi
         hasher, order = WordHasher(), shared.value
         for batch in slices(batches, "text", PASS_BYTES):
             sets = shingle_sets(batch.column("text"), hasher, width)
-            prefixes, shorts, bits, digests = [], [], [], []
+            prefixes, shorts, bulks, bits, digests = [], [], [], [], []
             for values in sets:
                 n = len(values)
                 length = n + (-percent * n) // 100 + 1 if n else 0
@@ -88,7 +88,9 @@ def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, wi
                 if length <= 1 and 100 * n // percent <= n:
                     length = short = 0
                 shorts.append(short)
-                prefixes.append(values[np.argsort(order[_slot(values)], kind="stable")[:length]])
+                rank = order[_slot(values)]
+                prefixes.append(values[np.argsort(rank, kind="stable")[:length]])
+                bulks.append(min(length, np.count_nonzero(rank == 0)))
                 bits.append(bitmap(values).tobytes() if n else b"")
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
             bounds = np.cumsum([0, *map(len, prefixes)])
@@ -100,12 +102,13 @@ def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, wi
                     pa.array([int.from_bytes(d[:6], "little") for d in digests], pa.int64()),
                     ragged(np.concatenate(prefixes).view(np.int64), bounds, pa.int64()),
                     pa.array(shorts, pa.int32()),
+                    pa.array(bulks, pa.int32()),
                     pa.array(bits, pa.binary()),
                 ],
-                names=["doc_id", "n", "digest", "mark", "prefix", "short", "bits"],
+                names=["doc_id", "n", "digest", "mark", "prefix", "short", "bulk", "bits"],
             )
 
-    schema = "doc_id long, n long, digest binary, mark long, prefix array<long>, short int, bits binary"
+    schema = "doc_id long, n long, digest binary, mark long, prefix array<long>, short int, bulk int, bits binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, schema)
 
 
@@ -254,34 +257,52 @@ def _group_unions(members: DataFrame) -> DataFrame:
     return partial.groupBy("g").applyInArrow(finish, schema)
 
 
+def _places(sets: DataFrame, which: str) -> DataFrame:
+    """(doc_id, mark, token, n, rest, short) of every prefix shingle at a place ``which`` tells."""
+    places = sets.select("doc_id", "mark", "n", "short", "bulk", F.posexplode("prefix").alias("at", "token")).where(which)
+    return places.select("doc_id", "mark", "token", "n", (F.col("n") - F.col("at")).alias("rest"), (F.col("at") < F.col("short")).alias("short"))
+
+
 def matrix_columns(sets: DataFrame, rows: DataFrame) -> DataFrame:
     """(r, token, n, rest, short): the prefix shingles of every class that another one shares and one of them has in
-    short, with the set's size and how many of its shingles begin there."""
-    places = sets.where("doc_id IS NOT NULL").select("doc_id", "mark", "n", "short", F.posexplode("prefix").alias("at", "token"))
-    places = places.select("doc_id", "mark", "token", "n", (F.col("n") - F.col("at")).alias("rest"), (F.col("at") < F.col("short")).alias("short"))
-    shared = places.groupBy("token").agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.max("short").alias("any"))
+    short, with the set's size and how many of its shingles begin there.
+
+    Shingles of rank 0, nearly all, are in no more documents than a hash slot usually holds shingles: a window moves
+    their places once. The others may be in any number of documents: they are folded first and joined back.
+    """
+    sets = sets.where("doc_id IS NOT NULL")
+    by = Window.partitionBy("token")
+    usual = _places(sets, "at < bulk").withColumns(
+        {"low": F.min("mark").over(by), "high": F.max("mark").over(by), "any": F.max("short").over(by)}
+    )
+    often = _places(sets.where("bulk < size(prefix)"), "at >= bulk")
+    shared = often.groupBy("token").agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.max("short").alias("any"))
     shared = shared.where("low < high AND any").select("token")
+    cells = ["doc_id", "token", "n", "rest", "short"]
+    places = usual.where("low < high AND any").select(cells).union(often.join(shared, "token").select(cells))
     heads = rows.where("doc_id = rep").select("doc_id").distinct()
-    columns = places.join(shared, "token").join(heads, "doc_id", "left_semi")
+    columns = places.join(heads, "doc_id", "left_semi")
     # a doc_id with several texts stands for each of them
     columns = columns.groupBy(F.col("doc_id").alias("r"), "token", "n").agg(F.max("rest").alias("rest"), F.max("short").alias("short"))
     return store_and_reload(columns, "columns")
 
 
-def central_links(columns: DataFrame) -> DataFrame:
-    """(a, b): every class with the smallest and with the most central class at each of its columns, to be compared.
+def central_links(columns: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): every class with the smallest and with the most central class at each of its columns, to be compared,
+    unless their sizes rule a link out.
 
     Copies mostly link with the text they were made from, less with each other. That text often has the smallest
     id; else it tends to be central, as its columns are shared by many copies.
     """
     crowd = columns.groupBy("token").agg(F.count("*").alias("m"))
     degree = columns.join(crowd, "token").groupBy("r").agg(F.sum("m").alias("degree"))
-    ranked = columns.select("token", "r").join(degree, "r")
-    hubs = ranked.groupBy("token").agg(F.max(F.struct("degree", (-F.col("r")).alias("id"))).alias("hub"))
-    hubs = hubs.select("token", (-F.col("hub.id")).alias("b")).union(columns.groupBy("token").agg(F.min("r").alias("b")))
-    return columns.select("token", F.col("r").alias("a")).join(hubs, "token").where("a != b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    ).distinct()
+    ranked = columns.select("token", (-F.col("r")).alias("id"), "n", "r").join(degree, "r")
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("degree", "id", "n")).alias("x"), F.max(F.struct("id", "n")).alias("y"))
+    hubs = hubs.select("token", F.inline(F.array(F.struct("x.id", "x.n"), "y"))).select("token", (-F.col("id")).alias("b"), F.col("n").alias("b_n"))
+    # an id with several texts has several sizes; a pair that is left out for one of them is met in step 5
+    fits = F.expr(f"100 * b_n >= {percent} * n AND 100 * n >= {percent} * b_n")
+    met = columns.select("token", F.col("r").alias("a"), "n").join(hubs, "token").where("a != b").where(fits)
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def asked_groups(open_rows: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -310,7 +331,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
 
     columns = matrix_columns(sets, rows)
 
-    links = _similar(central_links(columns), docs, sets, percent, width)
+    links = _similar(central_links(columns, percent), docs, sets, percent, width)
     groups = components(links)
 
     named = columns.join(groups.withColumnRenamed("node", "r"), "r", "left")

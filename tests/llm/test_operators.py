@@ -6,6 +6,7 @@ import re
 import zlib
 from itertools import combinations
 
+import numpy as np
 import pytest
 import sentencepiece
 import tiktoken
@@ -360,3 +361,33 @@ def test_half_signs_are_no_letters(spark, languages):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(rows, languages).collect()}
     assert got[1] == got[2] == got[4] == ("und", 0.0) and got[3][0] != "und"
     assert set(language_id.grams("a½b").tolist()) == set(language_id.grams("a b").tolist())
+
+
+def test_join_compares_no_pair_that_its_sizes_rule_out(spark):
+    columns = spark.createDataFrame(
+        [(r, t, n, n, True) for t, r, n in ((7, 1, 10), (7, 2, 100), (7, 3, 11), (8, 2, 100), (8, 4, 90))],
+        "r long, token long, n long, rest long, short boolean",
+    )
+    found = {(row["a"], row["b"]) for row in jaccard_join.central_links(columns).collect()}
+    assert (3, 1) in found and (4, 2) in found  # 11 and 10, 90 and 100
+    assert not {(2, 1), (3, 2)} & found
+
+
+def test_join_columns_are_the_same_whatever_the_ranks(spark):
+    texts = [" ".join(f"w{(i * 7 + j * (1 + i % 3)) % 40}" for j in range(30)) for i in range(40)]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(90, texts[0]), (None, texts[1]), (91, None), (3, texts[9])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for rank in (0, 1):  # every shingle is moved by the window, or by fold and join
+        ranks = np.full(1 << jaccard_join.SLOT_BITS, rank, np.uint8)
+        sets = jaccard_join.shingle_table(docs, ranks)
+        heads = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+        named = sets.select("doc_id", "n", "digest").join(heads, "digest", "left")
+        found.append(sorted(map(tuple, jaccard_join.matrix_columns(sets, named).collect())))
+        seen = {}
+        for row in sets.where("doc_id IS NOT NULL").collect():
+            for at, token in enumerate(row["prefix"]):
+                seen.setdefault(token, []).append((row["mark"], at < row["short"]))
+        shared = {t for t, x in seen.items() if len({m for m, _ in x}) > 1 and any(s for _, s in x)}
+        assert shared and {x[1] for x in found[-1]} == shared
+    assert found[0] == found[1]
