@@ -8,7 +8,8 @@
    among the first n - ceil(2 t n / (1 + t)) + 1 of the smaller. The former is a set's prefix, the latter its
    *short* prefix. Shingles that two classes have in their prefixes, one of them in the short one, are the
    columns of the matrix. Pages of one template that differ too much have their own words there, as common
-   shingles come last, so they never meet.
+   shingles come last, so they never meet. Prefixes are EXTRA longer where that adds no more common ones: two such
+   sets share EXTRA more, so those that share one passage by chance are told apart before anything wide moves.
 4. Groups: every class is compared with two classes at each of its columns, the smallest and the most central,
    and linked classes are one group. Of a group, the union of its members' shingles is stored as a bitmap: a row
    of the matrix.
@@ -40,6 +41,8 @@ PERCENT = 80
 SLOT_BITS = 18
 #: Bits of the table that tells which ids a step may need: 2 MB, whatever the number of ids.
 ID_BITS = 24
+#: Shingles by which prefixes are longer than needed to share one; such sets must share as many more.
+EXTRA = 2
 #: Text that a task takes at once, and what a writer gathers of bitmaps before it passes them on.
 PASS_BYTES = 1 << 19
 GROUP_BYTES = 16 << 20
@@ -69,9 +72,10 @@ def frequency_ranks(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n, digest, mark, prefix, short, bulk, bits) of every row: set size, set digest (whole and 48 bits of
-    it), prefix shingles, how many of them are the short prefix, how many have the rank 0, which come first, bitmap.
-    A set that only its equal can link with has no prefix."""
+    """(doc_id, n, digest, mark, prefix, short, bulk, bits, alone) of every row: set size, set digest (whole and 48
+    bits of it), prefix shingles, how many of them are the short prefix, how many have the rank 0, which come first,
+    bitmap, whether the prefix is as short as can be. It is EXTRA longer if that adds none of a higher rank than the
+    short prefix has. A set that only its equal can link with has no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,16 +84,20 @@ def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, wi
         hasher, order = WordHasher(), shared.value
         for batch in slices(batches, "text", PASS_BYTES):
             sets = shingle_sets(batch.column("text"), hasher, width)
-            prefixes, shorts, bulks, bits, digests = [], [], [], [], []
+            prefixes, shorts, bulks, bits, digests, alone = [], [], [], [], [], []
             for values in sets:
                 n = len(values)
                 length = n + (-percent * n) // 100 + 1 if n else 0
                 short = n + (-2 * percent * n) // (100 + percent) + 1 if n else 0
                 if length <= 1 and 100 * n // percent <= n:
                     length = short = 0
-                shorts.append(short)
                 rank = order[_slot(values)]
-                prefixes.append(values[np.argsort(rank, kind="stable")[:length]])
+                places = np.argsort(rank, kind="stable")
+                alone.append(not 0 < length <= n - EXTRA or rank[places[length + EXTRA - 1]] > rank[places[short - 1]])
+                if not alone[-1]:
+                    length, short = length + EXTRA, short + EXTRA
+                shorts.append(short)
+                prefixes.append(values[places[:length]])
                 bulks.append(min(length, np.count_nonzero(rank == 0)))
                 bits.append(bitmap(values).tobytes() if n else b"")
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
@@ -104,33 +112,49 @@ def shingle_table(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT, wi
                     pa.array(shorts, pa.int32()),
                     pa.array(bulks, pa.int32()),
                     pa.array(bits, pa.binary()),
+                    pa.array(alone, pa.bool_()),
                 ],
-                names=["doc_id", "n", "digest", "mark", "prefix", "short", "bulk", "bits"],
+                names=["doc_id", "n", "digest", "mark", "prefix", "short", "bulk", "bits", "alone"],
             )
 
-    schema = "doc_id long, n long, digest binary, mark long, prefix array<long>, short int, bulk int, bits binary"
+    schema = "doc_id long, n long, digest binary, mark long, prefix array<long>, short int, bulk int, bits binary, alone boolean"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, schema)
 
 
+def _asked(x: str, y: str, percent: int) -> str:
+    """SQL: how many shingles sets of the sizes ``x`` and ``y`` must have in common to link."""
+    return f"({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent}"
+
+
 def _meeting(left: DataFrame, right: DataFrame, on: list[str], percent: int) -> DataFrame:
-    """Pairs (a, b) of rows ``left`` (r, n, rest, short, token, ..) and rows or groups ``right`` (b, b_low, b_high,
-    b_rest, b_short, token, ..) that may link and meet in the first column they have in common.
+    """Rows ``left`` (r, n, rest, short, alone, token, ..) and rows or groups ``right`` (b, b_low, b_high, b_rest,
+    b_short, b_any, b_all, token, ..) that may link, at every column they have in common: (a, b, n, weight, g if left has it).
 
     One side is short: two joins, so that no pair of two long sides is ever formed. The sizes leave the similarity
     possible. And behind the first common shingle, itself included, either set has ``rest`` shingles, of which
-    ceil(p (x + y) / (100 + p)) must be common; the least y that can link counts, and the longest rest of a group.
+    as many must be common as a link asks for; the least y that can link counts, and the longest rest of a group.
+    Where neither prefix is alone, this holds for the first EXTRA + 1 common shingles but for those before them. All
+    of them are met, so their weights add up to EXTRA + 1; where one is alone, the first one weighs as much.
     """
     least = f"greatest(b_low, ({percent} * n + 99) div 100)"
-    asked = f"({percent} * (n + {least}) + {99 + percent}) div {100 + percent}"
-    fits = F.expr(f"100 * b_high >= {percent} * n AND 100 * n >= {percent} * b_low AND least(rest, b_rest) >= {asked}")
-    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
+    asked, rest = _asked("n", least, percent), "least(rest, b_rest)"
+    sizes = f"100 * b_high >= {percent} * n AND 100 * n >= {percent} * b_low"
+    fits = F.expr(f"{sizes} AND {rest} >= {asked} - IF(alone OR b_all, 0, {EXTRA})")
+    weight = F.expr(f"IF((alone OR b_any) AND {rest} >= {asked}, {EXTRA + 1}, 1)").alias("weight")
     out = []
     for own, other in ((left.where("short"), right), (left.where("NOT short"), right.where("b_short"))):
-        met = own.alias("x").join(other.alias("y"), [*same, fits])
-        out.append(met.select(F.col("x.r").alias("a"), F.col("y.b").alias("b"), *[F.col(f"x.{c}") for c in left.columns if c == "g"]))
+        met = own.alias("x").join(other.alias("y"), [*(F.col(f"x.{c}") == F.col(f"y.{c}") for c in on), fits])
+        out.append(met.select(F.col("x.r").alias("a"), F.col("y.b").alias("b"), "n", weight, *[F.col(f"x.{c}") for c in left.columns if c == "g"]))
     return out[0].union(out[1])
 
 
+def _enough(met: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``met`` (a, b, n, weight) that meet in as many columns as a link takes."""
+    least = _asked("n", f"({percent} * n + 99) div 100", percent)
+    pairs = met.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.min("n").alias("n"))
+    return pairs.where(F.expr(f"weight >= least({EXTRA + 1}, {least})")).select("a", "b")
+
+
 def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that their sizes and bitmaps leave possible; needs a_n, a_bits, b_low, b_high, b_bits.
 
@@ -152,7 +176,7 @@ def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
 
     fits = (F.col("b_high") * 100 >= F.col("a_n") * percent) & (F.col("a_n") * 100 >= F.col("b_low") * percent)
     least = f"greatest(b_low, ({percent} * a_n + 99) div 100)"
-    spare = F.expr(f"a_n - ({percent} * (a_n + {least}) + {99 + percent}) div {100 + percent}")
+    spare = F.expr(f"a_n - {_asked('a_n', least, percent)}")
     rows = pairs.where(fits).withColumn("spare", spare).where("spare >= 0")
     return rows.select("a", "b", "spare", "a_bits", "b_bits").mapInArrow(keep, "a long, b long")
 
@@ -258,59 +282,70 @@ def _group_unions(members: DataFrame) -> DataFrame:
 
 
 def _places(sets: DataFrame, which: str) -> DataFrame:
-    """(doc_id, mark, token, n, rest, short) of every prefix shingle at a place ``which`` tells."""
-    places = sets.select("doc_id", "mark", "n", "short", "bulk", F.posexplode("prefix").alias("at", "token")).where(which)
-    return places.select("doc_id", "mark", "token", "n", (F.col("n") - F.col("at")).alias("rest"), (F.col("at") < F.col("short")).alias("short"))
+    """(mark, token, n, rest, short, alone) of every prefix shingle at a place ``which`` tells."""
+    places = sets.select("mark", "n", "short", "bulk", "alone", F.posexplode("prefix").alias("at", "token")).where(which)
+    return places.select("mark", "token", "n", (F.col("n") - F.col("at")).alias("rest"), (F.col("at") < F.col("short")).alias("short"), "alone")
+
+
+def _folded(places: DataFrame, name: str) -> DataFrame:
+    """One row for those of ``places`` that copies of one set, or texts of one id, have at the same shingle."""
+    by = places.groupBy(name, "token", "n", "alone")
+    return by.agg(F.max("rest").alias("rest"), F.max("short").alias("short")).select(name, "token", "n", "rest", "short", "alone")
 
 
 def matrix_columns(sets: DataFrame, rows: DataFrame) -> DataFrame:
-    """(r, token, n, rest, short): the prefix shingles of every class that another one shares and one of them has in
-    short, with the set's size and how many of its shingles begin there.
+    """(r, token, n, rest, short, alone): the prefix shingles of every class that another one shares and one of them has
+    in short, with the set's size, how many of its shingles begin there, and whether its prefix is as short as can be.
 
     Shingles of rank 0, nearly all, are in no more documents than a hash slot usually holds shingles: a window moves
-    their places once. The others may be in any number of documents: they are folded first and joined back.
+    their places once. The others may be in any number of documents: they are folded first and joined back. Places
+    name their set only; its ids come to the few that are shared.
     """
     sets = sets.where("doc_id IS NOT NULL")
     by = Window.partitionBy("token")
     usual = _places(sets, "at < bulk").withColumns(
         {"low": F.min("mark").over(by), "high": F.max("mark").over(by), "any": F.max("short").over(by)}
     )
-    often = _places(sets.where("bulk < size(prefix)"), "at >= bulk")
+    often = _folded(_places(sets.where("bulk < size(prefix)"), "at >= bulk"), "mark")
     shared = often.groupBy("token").agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.max("short").alias("any"))
     shared = shared.where("low < high AND any").select("token")
-    cells = ["doc_id", "token", "n", "rest", "short"]
-    places = usual.where("low < high AND any").select(cells).union(often.join(shared, "token").select(cells))
+    places = _folded(usual.where("low < high AND any"), "mark").unionByName(often.join(shared, "token"))
     heads = rows.where("doc_id = rep").select("doc_id").distinct()
-    columns = places.join(heads, "doc_id", "left_semi")
+    heads = sets.where("n > 0").select("doc_id", "mark").join(heads, "doc_id", "left_semi").distinct()
+    columns = places.join(heads.withColumnRenamed("doc_id", "r"), "mark")
     # a doc_id with several texts stands for each of them
-    columns = columns.groupBy(F.col("doc_id").alias("r"), "token", "n").agg(F.max("rest").alias("rest"), F.max("short").alias("short"))
-    return store_and_reload(columns, "columns")
+    return store_and_reload(_folded(columns, "r"), "columns")
 
 
 def central_links(columns: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): every class with the smallest and with the most central class at each of its columns, to be compared,
-    unless their sizes rule a link out.
+    unless their sizes, or what follows in them, rule out a link whose first common shingle is there.
 
     Copies mostly link with the text they were made from, less with each other. That text often has the smallest
     id; else it tends to be central, as its columns are shared by many copies.
     """
     crowd = columns.groupBy("token").agg(F.count("*").alias("m"))
     degree = columns.join(crowd, "token").groupBy("r").agg(F.sum("m").alias("degree"))
-    ranked = columns.select("token", (-F.col("r")).alias("id"), "n", "r").join(degree, "r")
-    hubs = ranked.groupBy("token").agg(F.max(F.struct("degree", "id", "n")).alias("x"), F.max(F.struct("id", "n")).alias("y"))
-    hubs = hubs.select("token", F.inline(F.array(F.struct("x.id", "x.n"), "y"))).select("token", (-F.col("id")).alias("b"), F.col("n").alias("b_n"))
+    ranked = columns.select("token", (-F.col("r")).alias("id"), "n", "rest", "r").join(degree, "r")
+    hubs = ranked.groupBy("token").agg(
+        F.max(F.struct("degree", "id", "n", "rest")).alias("x"), F.max(F.struct("id", "n", "rest")).alias("y")
+    )
+    hubs = hubs.select("token", F.inline(F.array(F.struct("x.id", "x.n", "x.rest"), "y")))
+    hubs = hubs.select("token", (-F.col("id")).alias("b"), F.col("n").alias("b_n"), F.col("rest").alias("b_rest"))
     # an id with several texts has several sizes; a pair that is left out for one of them is met in step 5
-    fits = F.expr(f"100 * b_n >= {percent} * n AND 100 * n >= {percent} * b_n")
-    met = columns.select("token", F.col("r").alias("a"), "n").join(hubs, "token").where("a != b").where(fits)
+    sizes = f"100 * b_n >= {percent} * n AND 100 * n >= {percent} * b_n"
+    fits = F.expr(f"{sizes} AND least(rest, b_rest) >= {_asked('n', 'b_n', percent)}")
+    met = columns.select("token", F.col("r").alias("a"), "n", "rest").join(hubs, "token").where("a != b").where(fits)
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def asked_groups(open_rows: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): classes and the other groups they may link into, from (token, r, n, rest, short, g)."""
+    """(a, b): classes and the other groups they may link into, from (token, r, n, rest, short, alone, g)."""
     cells = open_rows.groupBy("token", F.col("g").alias("b")).agg(
-        F.min("n").alias("b_low"), F.max("n").alias("b_high"), F.max("rest").alias("b_rest"), F.max("short").alias("b_short")
-    )
-    return _meeting(open_rows, cells, ["token"], percent).where("g > b").select("a", "b").distinct()
+        F.min("n").alias("b_low"), F.max("n").alias("b_high"), F.max("rest").alias("b_rest"),
+        F.max("short").alias("b_short"), F.max("alone").alias("b_any"), F.min("alone").alias("b_all"),
+    )
+    return _enough(_meeting(open_rows, cells, ["token"], percent).where("g > b"), percent)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -335,7 +370,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     groups = components(links)
 
     named = columns.join(groups.withColumnRenamed("node", "r"), "r", "left")
-    named = store_and_reload(named.select("token", "r", "n", "rest", "short", F.coalesce("component", "r").alias("g")), "matrix")
+    named = store_and_reload(named.select("token", "r", "n", "rest", "short", "alone", F.coalesce("component", "r").alias("g")), "matrix")
     several = named.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("token")
     open_rows = store_and_reload(named.join(several, "token", "left_semi"), "open")
     # a link to another group shares a shingle with it, so its ends are all in open_rows
@@ -355,9 +390,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     queries = queries.join(open_rows.drop("g"), "r")
     inside = open_rows.select(
         "token", F.col("r").alias("b"), F.col("g").alias("g_open"), F.col("n").alias("b_low"), F.col("n").alias("b_high"),
-        F.col("rest").alias("b_rest"), F.col("short").alias("b_short"),
+        F.col("rest").alias("b_rest"), F.col("short").alias("b_short"), F.col("alone").alias("b_any"), F.col("alone").alias("b_all"),
     )
-    pairs = _meeting(queries, inside, ["token", "g_open"], percent).select("a", "b").distinct()
+    pairs = _enough(_meeting(queries, inside, ["token", "g_open"], percent), percent)
     found = components(links.union(_similar(pairs, docs, sets, percent, width)))
 
     named_rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left")

@@ -51,8 +51,8 @@ def common(left: np.ndarray, right: np.ndarray) -> int:
 
 
 def bitmap(values: np.ndarray) -> np.ndarray:
-    """A set as bits: value v sets bit v mod m, where m is a power of two of at least four times the set's size."""
-    size = max(64, 1 << int(4 * len(values) - 1).bit_length()) if len(values) else 64
+    """A set as bits: value v sets bit v mod m, where m is a power of two of at least twice the set's size."""
+    size = max(64, 1 << int(2 * len(values) - 1).bit_length()) if len(values) else 64
     bits = np.zeros(size, bool)
     bits[(values & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little")

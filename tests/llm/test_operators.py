@@ -391,3 +391,50 @@ def test_join_columns_are_the_same_whatever_the_ranks(spark):
         shared = {t for t, x in seen.items() if len({m for m, _ in x}) > 1 and any(s for _, s in x)}
         assert shared and {x[1] for x in found[-1]} == shared
     assert found[0] == found[1]
+
+
+def test_texts_that_share_one_passage_by_chance_ask_no_group(spark, monkeypatch):
+    """300 texts with their own words and one common passage each, at the least rank: no pair moves a bitmap."""
+    rng = random.Random(7)
+    passages = [" ".join(f"p{k}x{i}" for i in range(5)) for k in range(100)]
+    rows = []
+    for k in range(300):
+        words = [f"d{k}x{i}" for i in range(40)]
+        rows.append((k, " ".join([*words[:20], passages[k % 100], *words[20:]])))
+    rows += [(1_000 + k, rows[k][1] + " more") for k in range(0, 300, 50)]  # one word behind: near copies
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    asked, central = [], []
+    for name, seen in (("asked_groups", asked), ("central_links", central)):
+        real = getattr(jaccard_join, name)
+        monkeypatch.setattr(jaccard_join, name, lambda *r, real=real, seen=seen: seen.append(real(*r)) or seen[-1])
+    monkeypatch.setattr(jaccard_join, "frequency_ranks", lambda *_: np.zeros(1 << jaccard_join.SLOT_BITS, np.uint8))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(docs).collect()}
+    assert got == {k: k - 1_000 if k >= 1_000 else k for k, _ in rows}
+    assert asked[0].count() == 0
+
+
+def test_links_of_long_and_short_prefixes_are_found(spark):
+    """Sets whose prefix is EXTRA longer beside such whose is not, as their shingles are frequent: all links by pairs."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(60):
+        base = [f"w{k % 6}x{i}" for i in range(30 + k % 6)]
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            base[rng.randrange(len(base))] = f"z{rng.randrange(9)}"
+        rows.append((k, " ".join(base[: len(base) - rng.randrange(4)])))
+    rows += [(3, rows[9][1]), (None, rows[1][1]), (70, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for ranks in (np.zeros(1 << jaccard_join.SLOT_BITS, np.uint8), (np.arange(1 << jaccard_join.SLOT_BITS) % 3 > 0).astype(np.uint8)):
+        sets = jaccard_join.shingle_table(docs, ranks).where("n > 0")
+        assert {r["alone"] for r in sets.collect()} == ({True, False} if ranks.any() else {False})
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(jaccard_join, "frequency_ranks", lambda *_, ranks=ranks: ranks)
+            found.append(sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"] or -1)
+                                for r in jaccard_join.near_duplicates(docs).collect()))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard_join, "EXTRA", 0)
+        plain = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"] or -1)
+                       for r in jaccard_join.near_duplicates(docs).collect())
+    assert found[0] == found[1] == plain
