@@ -23,7 +23,9 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from taskspark.llm.arrays import give_back, kept_by_worker, ragged, slices
 
 MARK = "▁"
-REMEMBERED = 500_000
+#: Texts whose ids a worker keeps, and text that it takes at once: a worker stays small beside others of its executor.
+REMEMBERED = 1 << 16
+PASS_BYTES = 1 << 19
 LONGEST_REMEMBERED = 64
 #: An unknown character costs this much more than the worst piece, as in the public unigram model.
 UNKNOWN_PENALTY = 10.0
@@ -54,7 +56,7 @@ def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class Remembered(dict):
-    """Ids by text, found when first asked for; emptied when it holds ``most`` texts."""
+    """Ids by text, found when first asked for; the first ``most`` texts of a task are kept, common ones among them."""
 
     def __init__(self, find, most: int = REMEMBERED) -> None:
         super().__init__()
@@ -62,9 +64,7 @@ class Remembered(dict):
 
     def __missing__(self, text: str) -> bytes:
         ids = self.find(text)
-        if len(text) <= LONGEST_REMEMBERED and "\n" not in text:
-            if len(self) >= self.most:
-                self.clear()
+        if len(self) < self.most and len(text) <= LONGEST_REMEMBERED and "\n" not in text:
             self[text] = ids
         return ids
 
@@ -204,7 +204,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
-        for batch in slices(batches, text, 1 << 22):
+        for batch in slices(batches, text, PASS_BYTES):
             parts = [pieces.encode(t or "") for t in batch.column(text).to_pylist()]
             bounds = np.cumsum([0, *(len(p) // 4 for p in parts)])
             ids = ragged(np.frombuffer(b"".join(parts), "<i4"), bounds, pa.int32())

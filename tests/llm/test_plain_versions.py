@@ -253,3 +253,16 @@ def test_an_id_may_have_a_text_without_words_beside_others(spark):
     want = components([r for r in rows if (r[1] or "").split()])
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got if r.n_shingles} == {(k, n, c) for k, (n, c) in want.items()}
     assert len(got) == len(rows) and sum(r.n_shingles == 0 for r in got) == 12
+
+
+def test_a_worker_keeps_no_more_ids_than_it_may(vocabulary):
+    """Many different words: the store of words is bounded by its bytes, and words beyond it get the same ids."""
+    model = pieces.load(queries.PIECES)
+    words = [f"w{k}q{k * 7919 % 1_000_003}" for k in range(150_000)]
+    found = [model.encode(w) for w in words]
+    held = len(model.words), len(model.stretches)
+    again = [model.encode(w) for w in words[::1_000]]
+    model.words.clear()
+    model.stretches.clear()
+    assert again == found[::1_000] == [model.encode(w) for w in words[::1_000]]
+    assert sum(held) <= 100_000  # of about 200 bytes each
