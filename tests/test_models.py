@@ -6,6 +6,7 @@ from taskspark.operators import outliers
 from taskspark.plans import jobs, models
 from taskspark.session import scratch_path
 from workload import tables
+from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -76,3 +77,17 @@ def test_train_save_load_predict(spark, tasks, rules, tmp_path):
     assert {i for i, _ in want} == {r["Id"] for r in open_tasks.select("Id").collect()}
     assert all(isinstance(days, int) for _, days in want)
     assert -1 in {days for _, days in want}
+
+
+@pytest.mark.parametrize("name", ["train_classifier", "train_regressor", "predict_duration"])
+def test_queries_train_with_the_full_number_of_rounds(spark, monkeypatch, name):
+    seen = []
+
+    def stop(task, rules):
+        seen.append((rules.classifier_rounds, rules.regressor_rounds))
+        raise InterruptedError
+
+    monkeypatch.setattr(models, "training_matrix", stop)
+    with pytest.raises(InterruptedError):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen == [(100, 700)]
