@@ -2,11 +2,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from taskspark.operators import outliers
 from taskspark.plans import jobs, models
 from taskspark.session import scratch_path
 from workload import tables
-from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -89,5 +89,5 @@ def test_queries_train_with_the_full_number_of_rounds(spark, monkeypatch, name):
 
     monkeypatch.setattr(models, "training_matrix", stop)
     with pytest.raises(InterruptedError):
-        QUERIES[name](spark, "/root/testdata/sf0.001")
+        entry.queries()[name](spark, "/root/testdata/sf0.001")
     assert seen == [(100, 700)]
