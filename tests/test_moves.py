@@ -119,3 +119,24 @@ def test_work_orders_are_joined_once_for_all_sheets(spark, tmp_path):
     assert len(expected["SAP_Raw_Extract"][1]) > 6
     for rows in loading.entity_sources(spark, str(tmp_path)).values():
         assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_record_sets_are_joined_narrow_with_the_same_rows(spark, tmp_path):
+    _order_tables(spark, tmp_path)
+    for name in ("nation", "customer", "part", "orders", "lineitem"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").createOrReplaceTempView(name)
+    for name in ("LayoutProcessingTask", "LayoutType"):
+        plain, narrow = spark.sql(tables.RECORDS[name]), spark.sql(tables.NARROW_RECORDS[name])
+        assert narrow.schema.simpleString() == plain.schema.simpleString()
+        assert sorted(map(repr, narrow.collect())) == sorted(map(repr, plain.collect())) != []
+    moved = tables.NARROW_RECORDS["LayoutProcessingTask"]
+    assert moved != tables.RECORDS["LayoutProcessingTask"] and "(orders o JOIN customer c" in moved
+
+
+def test_landed_records_are_compressed_and_whole(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a\n\"b\""), (2, None), (3, "")], "k long, t string")
+    path = str(tmp_path / "landed")
+    tables.write_records(rows, path)
+    assert glob.glob(f"{path}/*.json.gz") and not glob.glob(f"{path}/*.json")
+    found = scans.scan_records(spark, path, "k long, t string")
+    assert sorted(map(tuple, found.collect())) == [(1, "a\n\"b\""), (2, None), (3, "")]
