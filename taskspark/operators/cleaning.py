@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from taskspark import vocab
 from taskspark.functions.dates import date_text, read_dates
 from taskspark.functions.texts import contains_any, fold_case
 from taskspark.operators.groups import with_group_values
-from taskspark.session import store_and_reload
+from taskspark.session import TIGHT, store_and_reload
 
 ITEM = ("Notification", "Item")
 DATES = ("Created_On", "Completed_On", "Planned_Start", "Planned_Finish")
@@ -51,26 +52,41 @@ def with_general_code(codes: DataFrame, general: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.upper(c) for c in ("TaskCode", "GroupCode")})
 
 
-def star_join(sources: Mapping[str, DataFrame], fact_columns: Sequence[str] = FACT_COLUMNS) -> DataFrame:
+def star_join(
+    sources: Mapping[str, DataFrame],
+    fact_columns: Sequence[str] = FACT_COLUMNS,
+    items: DataFrame | None = None,
+    staged: bool = False,
+) -> DataFrame:
     """The task fact with the columns of its nine dimensions; unknown ids give nulls.
 
     The dimensions that grow with the fact come first, while its rows are narrow: what Spark broadcasts adds its
     texts to rows that are not shuffled any more.
+
+    ``items`` has one row for each pair of keys in the fact, with columns to add. The programs then meet these few
+    rows, and the fact moves once for both. ``staged`` stores the fact with its programs before it moves for the task
+    codes, so that the shuffles up to there are gone from the disks by then. The smaller dimensions are stored before:
+    Spark then knows their sizes, and does not move the fact for one that it has yet to measure.
     """
 
     def dim(name: str, *columns: str) -> DataFrame:
-        return sources[name].select(*columns)
-
-    programs = dim("EngineProgram", "Notification", "Coding", F.col("Description").alias("Engine"))
+        found = sources[name].select(*columns)
+        return store_and_reload(found, name) if staged else found
+
+    programs = sources["EngineProgram"].select("Notification", "Coding", F.col("Description").alias("Engine"))
+    codes = sources["TaskCode"].select("TaskCodeId", "TaskCode", "TaskCodeText", "GeneralCode")
+    fact = sources["LayoutProcessingTask"].select(*fact_columns)
+    if items is None:
+        task = fact.join(programs, "Notification", "left")
+    else:
+        keys = {c: f"__item_{c}" for c in ITEM}
+        known = items.join(programs, "Notification", "left").withColumnsRenamed(keys)
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in keys.items()])
+        task = fact.join(known, same, "left").drop(*keys.values())
+    if staged:
+        task = store_and_reload(task, "programs", compression=TIGHT)
     task = (
-        sources["LayoutProcessingTask"]
-        .select(*fact_columns)
-        .join(programs, "Notification", "left")
-        .join(
-            dim("TaskCode", "TaskCodeId", "TaskCode", "TaskCodeText", "GeneralCode"),
-            "TaskCodeId",
-            "left",
-        )
+        task.join(codes, "TaskCodeId", "left")
         .join(dim("SupplierVendor", "SupplierVendorId", "SupplierVendor"), "SupplierVendorId", "left")
         .join(dim("TaskOwner", "TaskOwnerId", "TaskOwner"), "TaskOwnerId", "left")
         .join(dim("TaskStatus", "TaskStatusId", "TaskStatus"), "TaskStatusId", "left")
@@ -79,13 +95,18 @@ def star_join(sources: Mapping[str, DataFrame], fact_columns: Sequence[str] = FA
         .join(dim("DamageCode", "DamageCodeId", "DamageCode"), "DamageCodeId", "left")
         .join(dim("Category", "CategoryId", "Category"), "CategoryId", "left")
     )
-    codes = ["TaskCode", "TaskCodeText", "GeneralCode"]
-    return task.select("TaskCodeId", *[c for c in task.columns if c not in ("TaskCodeId", *codes)], *codes)
+    last = ["TaskCode", "TaskCodeText", "GeneralCode"]
+    return task.select("TaskCodeId", *[c for c in task.columns if c not in ("TaskCodeId", *last)], *last)
 
 
 def typed(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Whole-number keys, text as text, dates as timestamps, engine in lower case."""
-    return read_dates(task, DATES, rules.null_out_of_range).withColumns(
+    return with_types(read_dates(task, DATES, rules.null_out_of_range))
+
+
+def with_types(task: DataFrame) -> DataFrame:
+    """``typed`` for tasks whose dates are read."""
+    return task.withColumns(
         {
             **{c: F.col(c).try_cast("bigint") for c in ("Notification", "Item", "Task")},
             "TaskText": F.coalesce(F.col("TaskText").cast("string"), F.lit("nan")),
@@ -94,10 +115,17 @@ def typed(task: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     )
 
 
-def completions(fact: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Item keys and completion dates of the raw task fact, typed as ``typed`` types them."""
-    narrow = read_dates(fact.select(*ITEM, "Completed_On"), ["Completed_On"], rules.null_out_of_range)
-    return narrow.withColumns({c: F.col(c).try_cast("bigint") for c in ITEM})
+def item_states(fact: DataFrame) -> DataFrame:
+    """Each pair of item keys in ``fact``, as it stands there, with ``IsItemCompleted``.
+
+    Keys that are the same whole number are one item. The tasks are folded by their keys first, so what meets there
+    are items only.
+    """
+    raw = fact.groupBy(*ITEM).agg(F.bool_and(F.col("Completed_On").isNotNull()).alias("__done"))
+    keys = {c: f"__typed_{c}" for c in ITEM}
+    raw = raw.withColumns({n: F.col(c).try_cast("bigint") for c, n in keys.items()})
+    whole = F.bool_and("__done").alias("IsItemCompleted")
+    return with_group_values(raw, list(keys.values()), whole).drop("__done", *keys.values())
 
 
 def with_item_completed(
@@ -181,20 +209,16 @@ def clean(sources: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules
     """The cleaned task fact of the renamed record sets.
 
     The joined task codes are stored first: Spark then knows their size, and shuffles the fact for
-    them only if they are too large to broadcast. Completion of items is folded from three columns
-    of the fact and joined to it before any dimension, while its rows are narrow.
+    them only if they are too large to broadcast. The fact is read twice and stored with its dates read:
+    completion of items is folded from three of its columns and comes to it with the programs.
     """
     codes = with_general_code(sources["TaskCode"], sources["GeneralCode"])
-    codes = store_and_reload(codes, "codes")
-    fact = sources["LayoutProcessingTask"].select(*FACT_COLUMNS)
-    keys = {c: f"__typed_{c}" for c in ITEM}
-    done = completions(fact, rules).withColumnsRenamed(keys)
-    fact = fact.withColumns({n: F.col(c).try_cast("bigint") for c, n in keys.items()})
-    fact = with_item_completed(fact, done, list(keys.values())).drop(*keys.values())
-    task = star_join(
-        {**sources, "LayoutProcessingTask": fact, "TaskCode": codes}, (*FACT_COLUMNS, "IsItemCompleted")
-    )
-    return with_corrections(with_task_tags(typed(task, rules), rules), rules)
+    codes = store_and_reload(codes, "codes", compression=TIGHT)
+    fact = read_dates(sources["LayoutProcessingTask"].select(*FACT_COLUMNS), DATES, rules.null_out_of_range)
+    fact = store_and_reload(fact, "fact", compression=TIGHT)
+    found = {**sources, "LayoutProcessingTask": fact, "TaskCode": codes}
+    task = star_join(found, items=item_states(fact), staged=True)
+    return with_corrections(with_task_tags(with_types(task), rules), rules)
 
 
 def cleaned_output(task: DataFrame) -> DataFrame:

@@ -140,3 +140,55 @@ def test_landed_records_are_compressed_and_whole(spark, tmp_path):
     assert glob.glob(f"{path}/*.json.gz") and not glob.glob(f"{path}/*.json")
     found = scans.scan_records(spark, path, "k long, t string")
     assert sorted(map(tuple, found.collect())) == [(1, "a\n\"b\""), (2, None), (3, "")]
+
+
+def _record_sets(spark):
+    """Tasks of keys as texts, of which some are the same number, some none; a notification with two programs."""
+    fact = [
+        ("1", "1", "a", "x", 1, "2001-01-01", "2001-01-02", "ring", 7), ("01", "1", "b", "x", 1, "2001-01-01", None, "medium", 7),
+        ("1", "2", "c", "x", None, "1500-01-01", "2001-01-02", None, 8), (None, "2", "d", "x", 1, "2001-01-05", "2001-01-02", "t", 9),
+        (None, "2", "d", "x", 1, "2001-01-05", "2001-01-02", "t", 9), ("n", None, "e", "x", 2, "bad", "1677-09-21", "t", None),
+        ("2", "1", "f", "x", 2, "2001-01-01", "2001-01-02", "t", 7), ("02", "01", "g", "x", 2, "2001-01-01", "2001-01-02", "t", 7),
+    ]
+    names = "Notification string, Item string, LayoutTaskId string, Material string, TaskOwnerId int, Created_On string, Completed_On string, TaskText string, TaskCodeId int"
+    rows = spark.createDataFrame(fact, names).withColumns({
+        "Planned_Start": F.col("Created_On"), "Planned_Finish": F.col("Created_On"), "Task": F.lit("3"),
+        **{c: F.lit(1) for c in ("SupplierVendorId", "TaskStatusId", "DamageCodeId", "CauseCodeId", "GroupCodeId", "CategoryId")},
+    })
+    one = {
+        "SupplierVendor": "SupplierVendor", "TaskStatus": "TaskStatus", "GroupCode": "GroupCode", "CauseCode": "CauseCode",
+        "DamageCode": "DamageCode", "Category": "Category",
+    }
+    found = {n: spark.createDataFrame([(1, n)], f"{n}Id int, {c} string") for n, c in one.items()}
+    return {
+        **found, "LayoutProcessingTask": rows,
+        "TaskOwner": spark.createDataFrame([(1, "o"), (None, "none")], "TaskOwnerId int, TaskOwner string"),
+        "EngineProgram": spark.createDataFrame([("1", 5, "E"), ("1", 6, None), ("02", 7, "F"), (None, 8, "G")], "Notification string, Coding int, Description string"),
+        "TaskCode": spark.createDataFrame([(7, "SMALL", "hot", "R"), (8, "X", None, None), (7, "Y", "z", "A")], "TaskCodeId int, TaskCode string, TaskCodeText string, GroupCode string"),
+        "GeneralCode": spark.createDataFrame([("r", "small", "r_small")], "Code_Group string, Task_Code string, General_Code string"),
+    }
+
+
+def test_staged_star_join_has_the_same_rows(spark):
+    found = _record_sets(spark)
+    found["TaskCode"] = cleaning.with_general_code(found["TaskCode"], found["GeneralCode"])
+    plain, staged = cleaning.star_join(found), cleaning.star_join(found, staged=True)
+    assert staged.columns == plain.columns
+    assert sorted(map(repr, staged.collect())) == sorted(map(repr, plain.collect())) != []
+    joins = [df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") for df in (plain, staged)]
+    assert joins == [10, 9]  # one of them is that of the general codes
+
+
+def test_cleaning_moves_the_fact_once_for_items_and_programs(spark):
+    found = _record_sets(spark)
+    codes = cleaning.with_general_code(found["TaskCode"], found["GeneralCode"])
+    star = cleaning.star_join({**found, "TaskCode": codes})
+    plain = cleaning.with_corrections(cleaning.with_tags(cleaning.typed(star, tables.RULES), tables.RULES), tables.RULES)
+    cleaned = cleaning.clean(found, tables.RULES)
+    assert sorted(cleaned.columns) == sorted(plain.columns)
+    rows = sorted(map(repr, cleaned.select(*plain.columns).collect()))
+    assert rows == sorted(map(repr, plain.collect())) and len(rows) > 8
+    done = {(r["Notification"], r["Item"], r["IsItemCompleted"]) for r in cleaned.collect()}
+    assert done == {(1, 1, False), (1, 2, True), (None, 2, True), (None, None, False), (2, 1, True)}
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 8 and "Aggregate" not in plan

@@ -269,7 +269,7 @@ def sources(spark, sf_dir):
 def star_join(spark, sf_dir):
     found = sources(spark, sf_dir)
     codes = cleaning.with_general_code(found["TaskCode"], found["GeneralCode"])
-    return cleaning.star_join({**found, "TaskCode": codes})
+    return cleaning.star_join({**found, "TaskCode": codes}, staged=True)
 
 
 @query(
