@@ -98,7 +98,7 @@ def extract(entity: str, raw: DataFrame) -> DataFrame | None:
 def _number(entity: str, cleaned: DataFrame) -> DataFrame | None:
     spec = EXTRACTS[entity]
     rows = entity_rows(entity, cleaned)
-    return None if rows is None else dense_ids(rows, spec.sort, spec.distinct)
+    return None if rows is None else dense_ids(rows, spec.sort, spec.distinct, staged=True)
 
 
 def split_sheets(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -5,8 +5,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from taskspark.operators import cleaning
-from taskspark.session import shuffles_dropped
+from taskspark.operators import cleaning, extract, ids
+from taskspark.session import job_scratch, scratch_path, shuffles_dropped
 from taskspark.sources import scans, sinks
 from workload import loading, tables
 
@@ -192,3 +192,20 @@ def test_cleaning_moves_the_fact_once_for_items_and_programs(spark):
     assert done == {(1, 1, False), (1, 2, True), (None, 2, True), (None, None, False), (2, 1, True)}
     plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftOuter") == 8 and "Aggregate" not in plan
+
+
+def _labels(spark, run):
+    """Names of the tables that ``run`` stores."""
+    with job_scratch(spark):
+        run()
+        folder = scratch_path(spark, "x").rpartition("/")[0]
+        return sorted(path.rpartition("/")[2].partition("-")[0] for path in glob.glob(f"{folder}/*"))
+
+
+def test_staged_ids_are_the_same(spark):
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("b", 1), (None, 3), ("a", None)] * 3, "a string, b int")
+    for distinct in (True, False):
+        plain, staged = (ids.dense_ids(rows, ["a"], distinct, staged=s) for s in (False, True))
+        assert sorted(map(repr, staged.collect())) == sorted(map(repr, plain.collect()))
+    assert _labels(spark, lambda: ids.dense_ids(rows, ["a"], True, staged=True)) == ["distinct", "ids"]
+    assert _labels(spark, lambda: extract.extract("Category", spark.createDataFrame([("c",)], "Category string"))) == ["distinct", "ids"]
