@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from taskspark.session import store_and_reload
+from taskspark.operators.ids import dense_ids
+from taskspark.session import scratch_path, shuffles_dropped, store_and_reload
 
 ACCURACY = 10_000
 #: How far from the middle a bracket is laid: more than the sketch can err.
 MARGIN = 5 / ACCURACY
+#: The places of a vector are numbered by an int.
+MOST_PLACES = (1 << 31) - 1
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
@@ -144,36 +148,94 @@ def one_hot(df: DataFrame, levels: dict[str, Sequence[str]]) -> DataFrame:
     return df.withColumns(hot).drop(*levels)
 
 
-def learn_vectors(df: DataFrame, columns: Sequence[str], into: str = "features") -> PipelineModel:
-    """One-hot encoding of columns with any number of levels, as one sparse vector ``into``.
+@dataclass(frozen=True)
+class VectorLevels:
+    """The levels of columns as places of one vector ``into`` of ``size``.
 
-    Levels are the distinct texts of a column, in ascending order, columns one after another. Their names
-    (``Column_value``) are metadata of the vector, see ``vector_names``; a value that is no level, null
-    included, has only zeros. Learn once, then ``transform`` training and prediction rows alike; the
-    model can be saved. Rows hold as many entries as there are columns, whatever the number of levels.
+    ``path`` is a table of ``name`` (the column), ``level`` (its text) and ``at`` (the place). However many levels
+    there are, none is held by the driver.
     """
-    texts = [f"__text_{c}" for c in columns]
-    places = [f"__place_{c}" for c in columns]
-    indexer = StringIndexer(inputCols=texts, outputCols=places, stringOrderType="alphabetAsc", handleInvalid="keep")
-    encoder = OneHotEncoder(inputCols=places, outputCols=list(columns), dropLast=True)
-    assembler = VectorAssembler(inputCols=list(columns), outputCol=into)
-    return Pipeline(stages=[indexer, encoder, assembler]).fit(_as_texts(df, columns))
+
+    columns: tuple[str, ...]
+    into: str
+    size: int
+    path: str
+
+    def table(self) -> DataFrame:
+        return SparkSession.active().read.schema(LEVELS).parquet(self.path)
+
+    def save(self, path: str) -> None:
+        self.table().write.parquet(f"{path}/levels")
+        about = [(n, c, self.into, self.size) for n, c in enumerate(self.columns)]
+        frame = SparkSession.active().createDataFrame(about, "place int, name string, into string, size long")
+        frame.coalesce(1).write.json(f"{path}/columns")
+
+    @classmethod
+    def load(cls, path: str) -> VectorLevels:
+        reader = SparkSession.active().read.schema("place int, name string, into string, size long")
+        rows = reader.json(f"{path}/columns").orderBy("place").collect()
+        return cls(tuple(r["name"] for r in rows), rows[0]["into"], rows[0]["size"], f"{path}/levels")
 
 
-def _as_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns as texts under names of their own, so that their names are free for the encoder."""
-    return df.withColumns({f"__text_{c}": F.col(c).cast("string") for c in columns}).drop(*columns)
+LEVELS = "name string, level string, at long"
 
 
-def one_hot_vectors(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """``df`` with the vector of a model of ``learn_vectors`` in place of the encoded columns."""
-    indexer, encoder = model.stages[0], model.stages[1]
-    columns = encoder.getOutputCols()
-    rows = model.transform(_as_texts(df, columns))
-    return rows.drop(*columns, *indexer.getInputCols(), *indexer.getOutputCols())
+def learn_vectors(df: DataFrame, columns: Sequence[str], into: str = "features") -> VectorLevels:
+    """One-hot encoding of columns with any number of levels, as one sparse vector ``into``.
+
+    Levels are the distinct texts of a column, in ascending order, columns one after another; see ``vector_levels``
+    for their names. A value that is no level, null included, has only zeros. Learn once, then use
+    ``one_hot_vectors`` on training and prediction rows alike; what is learned can be saved. Rows hold as many
+    entries as there are columns, whatever the number of levels.
+    """
+    pairs = [F.struct(F.lit(n).alias("place"), F.col(c).cast("string").alias("level")) for n, c in enumerate(columns)]
+    levels = df.select(F.inline(F.array(*pairs))).where(F.col("level").isNotNull())
+    numbered = dense_ids(levels, ["place", "level"], distinct=True)
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("place") + 1)
+    path = scratch_path(df.sparkSession, "levels")
+    with shuffles_dropped(df.sparkSession):
+        numbered.select(name.alias("name"), "level", (F.col("Id") - 1).alias("at")).write.parquet(path)
+    size = df.sparkSession.read.schema(LEVELS).parquet(path).count()
+    if size > MOST_PLACES:
+        raise ValueError(f"{size} levels, a vector has {MOST_PLACES} places at most")
+    return VectorLevels(tuple(columns), into, size, path)
+
+
+def one_hot_vectors(df: DataFrame, model: VectorLevels) -> DataFrame:
+    """``df`` with the vector of ``learn_vectors`` in place of the encoded columns.
+
+    The levels are joined to the rows, which stay on the left, and the outcome is stored: files are read back as
+    vectors without a step in Python.
+    """
+    rows, places = df, []
+    for n, c in enumerate(model.columns):
+        levels = model.table().where(F.col("name") == c)
+        # Stored, so that Spark knows its size.
+        levels = store_and_reload(levels.select(F.col("level").alias(f"__level{n}"), F.col("at").cast("int").alias(f"__at{n}")), "level")
+        match = F.col(c).cast("string") == F.col(f"__level{n}")
+        rows = rows.join(levels, match, "left").drop(f"__level{n}")
+        places.append(F.col(f"__at{n}"))
+    at = F.array_compact(F.array(*places))
+    parts = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(model.size).cast("int").alias("size"), at.alias("indices"),
+        F.transform(at, lambda _: F.lit(1.0)).alias("values"),
+    )
+    kept = [c for c in df.columns if c not in model.columns]
+    found = rows.select(*kept, parts.alias(model.into))
+    path = scratch_path(df.sparkSession, "vectors")
+    with shuffles_dropped(df.sparkSession):
+        found.write.parquet(path)
+    vector = T.StructField(model.into, VectorUDT(), True, {"levels": model.path})
+    schema = T.StructType([*found.schema.fields[:-1], vector])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def vector_levels(df: DataFrame, column: str = "features") -> DataFrame:
+    """Place and name (``Column_value``) of the levels of a vector column, as ``at`` and ``level``."""
+    table = df.sparkSession.read.schema(LEVELS).parquet(df.schema[column].metadata["levels"])
+    return table.select(F.col("at").cast("int").alias("at"), F.concat("name", F.lit("_"), "level").alias("level"))
 
 
 def vector_names(df: DataFrame, column: str = "features") -> list[str]:
-    """The level names of a vector column, in the order of its places."""
-    kinds = df.schema[column].metadata["ml_attr"]["attrs"]
-    return [a["name"] for a in sorted((a for of in kinds.values() for a in of), key=lambda a: a["idx"])]
+    """The level names of a vector column, in the order of its places, for sets that a driver can hold."""
+    return [r["level"] for r in vector_levels(df, column).orderBy("at").collect()]

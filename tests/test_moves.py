@@ -5,7 +5,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from taskspark.operators import cleaning, extract, ids
+from taskspark.operators import cleaning, extract, ids, impute
 from taskspark.session import job_scratch, scratch_path, shuffles_dropped
 from taskspark.sources import scans, sinks
 from workload import loading, tables
@@ -209,3 +209,17 @@ def test_staged_ids_are_the_same(spark):
         assert sorted(map(repr, staged.collect())) == sorted(map(repr, plain.collect()))
     assert _labels(spark, lambda: ids.dense_ids(rows, ["a"], True, staged=True)) == ["distinct", "ids"]
     assert _labels(spark, lambda: extract.extract("Category", spark.createDataFrame([("c",)], "Category string"))) == ["distinct", "ids"]
+
+
+def test_levels_of_vectors_stay_off_the_driver(spark):
+    rows = spark.createDataFrame([(1, "b", 2), (2, "a", None), (3, None, 10), (4, "b", 2), (5, "", None)], "k int, v string, w int")
+    model = impute.learn_vectors(rows, ["v", "w"])
+    found = impute.one_hot_vectors(rows, model)
+    assert "ml_attr" not in found.schema["features"].metadata and model.size == 5
+    assert not any(isinstance(value, (list, dict)) for value in vars(model).values())
+    level = {r["at"]: r["level"] for r in impute.vector_levels(found).collect()}
+    assert level == {0: "v_", 1: "v_a", 2: "v_b", 3: "w_10", 4: "w_2"} and impute.vector_names(found) == list(level.values())
+    got = sorted((r["k"], r["features"].size, [level[i] for i in r["features"].indices], list(r["features"].values)) for r in found.collect())
+    assert got == [(1, 5, ["v_b", "w_2"], [1, 1]), (2, 5, ["v_a"], [1]), (3, 5, ["w_10"], [1]), (4, 5, ["v_b", "w_2"], [1, 1]), (5, 5, ["v_"], [1])]
+    none = impute.one_hot_vectors(rows, impute.learn_vectors(rows.where("k > 5"), ["v"]))
+    assert {r["features"].size for r in none.collect()} == {0} and impute.vector_names(none) == []

@@ -519,8 +519,7 @@ def one_hot_vectors(spark, sf_dir):
     """Every task's material and owner as a sparse vector over all levels, read back with the level names."""
     rows = store_and_reload(tables.work_orders(spark, sf_dir).select("Id", "Material", "TaskOwner"), "levels")
     found = impute.one_hot_vectors(rows, impute.learn_vectors(rows, ["Material", "TaskOwner"]))
-    names = impute.vector_names(found)
-    level = spark.createDataFrame(list(enumerate(names)), "at int, level string")
+    level = impute.vector_levels(found)
     parts = found.select("Id", F.unwrap_udt("features").alias("v"))
     parts = parts.select("Id", F.col("v.size").cast("long").alias("levels"), F.col("v.indices").alias("at"))
     spelt = parts.select("Id", F.explode("at").alias("at")).join(level, "at").groupBy("Id")
